@@ -1,4 +1,6 @@
 """Registered queries and the SQL each is held against."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import demand_plans, evaluation_plans, export_plans, pilot_plans, report_plans  # noqa: F401
+from .base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
