@@ -16,17 +16,21 @@ DIGITS = 6
 
 
 def query(sql: str | None = None, doubles: str = "", digits: int = DIGITS):
-    """Registers a query and the SQL it is held against; both round the named columns, so that sums in another order agree."""
-    cols = doubles.split()
+    """Registers a query and the SQL it is held against.
+
+    Both round the named columns, after adding far less than the last digit, so that sums in another order agree even where
+    the true value lies midway between two results.
+    """
+    cols, nudge = doubles.split(), 3 * 10.0 ** -(digits + 3)
 
     def wrap(f: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(spark, sf_dir).withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
+            return f(spark, sf_dir).withColumns({c: F.round(F.col(c) + nudge, digits) + F.lit(0.0) for c in cols})
 
         key = f.__name__
         QUERIES[key] = run
         if sql:
-            replace = f" REPLACE ({', '.join(f'round({c}, {digits}) + 0.0 AS {c}' for c in cols)})" if cols else ""
+            replace = f" REPLACE ({', '.join(f'round({c} + {nudge:.10f}, {digits}) + 0.0 AS {c}' for c in cols)})" if cols else ""
             ORACLE_SQL[key] = f"{sql.split('--FROM--')[0]} SELECT *{replace} FROM ({sql.split('--FROM--')[1]}) q" if "--FROM--" in sql else f"SELECT *{replace} FROM ({sql}) q"
         return f
 

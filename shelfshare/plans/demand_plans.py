@@ -19,13 +19,13 @@ rolled AS (SELECT *, avg(CASE WHEN on_hand >= 1 THEN qty END) OVER w AS mean_qty
   WINDOW w AS (PARTITION BY sku, store ORDER BY day RANGE BETWEEN INTERVAL 89 DAYS PRECEDING AND CURRENT ROW))--FROM--"""
 
 
-@query(_ROLLED + "SELECT sku, store, day, on_hand, mean_qty, mean_revenue FROM rolled", "mean_qty mean_revenue", 8)
+@query(_ROLLED + "SELECT sku, store, day, on_hand, mean_qty, mean_revenue FROM rolled", "mean_qty mean_revenue")
 def rolling_mean_days(spark, d):
     return panel.rolling_days(_daily(spark, d), ["qty", "revenue"]).select("sku", "store", "day", "on_hand", "mean_qty", "mean_revenue")
 
 
 @query(_ROLLED + """SELECT sku, store, day, CASE WHEN mean_qty > on_hand AND mandatory = 'S' THEN 1 ELSE 0 END AS stockout, CASE WHEN mean_qty > on_hand AND mandatory = 'S' THEN mean_qty - on_hand END AS delta,
-  mean_revenue / nullif(mean_qty, 0) AS mean_price, CASE WHEN mandatory = 'S' THEN CASE WHEN mean_qty > on_hand THEN mean_qty - on_hand END * (mean_revenue / nullif(mean_qty, 0)) ELSE 0.0 END AS lost_revenue FROM rolled""", "delta mean_price lost_revenue", 8)
+  mean_revenue / nullif(mean_qty, 0) AS mean_price, CASE WHEN mandatory = 'S' THEN CASE WHEN mean_qty > on_hand THEN mean_qty - on_hand END * (mean_revenue / nullif(mean_qty, 0)) ELSE 0.0 END AS lost_revenue FROM rolled""", "delta mean_price lost_revenue")
 def stockout_block(spark, d):
     rolled = panel.rolling_days(_daily(spark, d), ["qty", "revenue"])
     return panel.stockout_block(rolled).select("sku", "store", "day", "stockout", "delta", "mean_price", "lost_revenue")
@@ -52,12 +52,12 @@ def winsorise_series(spark, d):
     return b.cleaned(spark, d).select("grp", "store", "day", "qty_raw", "qty", "clipped")
 
 
-@query(f"WITH {b.MEASURED_ALL}--FROM--SELECT grp, store, day, trimmed_90, trimmed_180, trimmed_270, trimmed_360 FROM measured", "trimmed_90 trimmed_180 trimmed_270 trimmed_360", 8)
+@query(f"WITH {b.MEASURED_ALL}--FROM--SELECT grp, store, day, trimmed_90, trimmed_180, trimmed_270, trimmed_360 FROM measured", "trimmed_90 trimmed_180 trimmed_270 trimmed_360")
 def rolling_trimmed_mean(spark, d):
     return b.measured(spark, d, b.WINDOWS).select("grp", "store", "day", *[f"trimmed_{n}" for n in b.WINDOWS])
 
 
-@query(f"WITH {b.PANEL}--FROM--SELECT grp, store, day, " + ", ".join(f"avg(qty) OVER (PARTITION BY grp, store ORDER BY day ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) AS mean_{n}" for n in (30, 60, 90, 180, 360)) + " FROM panel", " ".join(f"mean_{n}" for n in (30, 60, 90, 180, 360)), 8)
+@query(f"WITH {b.PANEL}--FROM--SELECT grp, store, day, " + ", ".join(f"avg(qty) OVER (PARTITION BY grp, store ORDER BY day ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) AS mean_{n}" for n in (30, 60, 90, 180, 360)) + " FROM panel", " ".join(f"mean_{n}" for n in (30, 60, 90, 180, 360)))
 def rolling_mean_rows(spark, d):
     windows = (30, 60, 90, 180, 360)
     return demand.rolling_mean_rows(b.panel(spark, d), windows, "qty").select("grp", "store", "day", *[f"mean_{n}" for n in windows])

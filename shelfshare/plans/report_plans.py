@@ -16,7 +16,7 @@ def _running(key, extra=""):
     return f"""SELECT {key}, revenue, share_pct, running_pct FROM (SELECT *, sum(share_pct) OVER (ORDER BY revenue DESC, {key} ROWS UNBOUNDED PRECEDING) AS running_pct FROM (SELECT {key}, sum(revenue) AS revenue, 100 * sum(revenue) / sum(sum(revenue)) OVER () AS share_pct FROM sales{extra} GROUP BY {key})) WHERE running_pct <= 80"""
 
 
-@query(_S + _running("brand"), "revenue share_pct running_pct", 4)
+@query(_S + _running("brand"), "revenue share_pct running_pct", 3)
 def running_share(spark, d):
     return reports.running_share(b.sales(spark, d), "brand", "revenue")
 
@@ -34,13 +34,13 @@ def revenue_by_group(spark, d):
 
 @query(_S + "SELECT brand, sum(revenue) AS revenue, 100 * sum(revenue) / sum(sum(revenue)) OVER () AS share_pct FROM sales GROUP BY brand ORDER BY revenue DESC, brand LIMIT 3", "revenue share_pct", 3)
 def revenue_by_brand(spark, d):
-    per = b.sales(spark, d).groupBy("brand").agg(F.sum("revenue", 3).alias("revenue", 3))
-    return reports.with_total_share(per, "revenue").orderBy(F.desc("revenue", 3), "brand").limit(3)
+    per = b.sales(spark, d).groupBy("brand").agg(F.sum("revenue").alias("revenue"))
+    return reports.with_total_share(per, "revenue").orderBy(F.desc("revenue"), "brand").limit(3)
 
 
 @query(_S + "SELECT region, sum(revenue) AS revenue, 100 * sum(revenue) / sum(sum(revenue)) OVER () AS share_pct FROM sales WHERE channel = 'ONLINE' GROUP BY region", "revenue share_pct", 3)
 def directorate_share(spark, d):
-    per = b.sales(spark, d).where("channel = 'ONLINE'").groupBy("region").agg(F.sum("revenue", 3).alias("revenue", 3))
+    per = b.sales(spark, d).where("channel = 'ONLINE'").groupBy("region").agg(F.sum("revenue").alias("revenue"))
     return reports.with_total_share(per, "revenue")
 
 
@@ -88,11 +88,11 @@ def share_by_band_region(spark, d):
     return reports.share_by(b.matrix(spark, d), "grp", ["band", "region"], "new", "old")
 
 
-@query(f"WITH {b.SALES}, per AS (SELECT region, grp, brand, sum(qty + CASE WHEN mandatory = 'S' AND on_hand < qty THEN qty - on_hand ELSE 0.0 END) AS demand, sum(revenue) AS revenue FROM sales GROUP BY ALL)--FROM--SELECT region, grp, brand, demand, revenue, 100 * demand / sum(demand) OVER (PARTITION BY region) AS demand_pct, 100 * revenue / sum(revenue) OVER (PARTITION BY region) AS revenue_pct FROM per", "revenue demand_pct revenue_pct", 4)
+@query(f"WITH {b.SALES}, per AS (SELECT region, grp, brand, sum(qty + CASE WHEN mandatory = 'S' AND on_hand < qty THEN qty - on_hand ELSE 0.0 END) AS demand, sum(revenue) AS revenue FROM sales GROUP BY ALL)--FROM--SELECT region, grp, brand, demand, revenue, 100 * demand / sum(demand) OVER (PARTITION BY region) AS demand_pct, 100 * revenue / sum(revenue) OVER (PARTITION BY region) AS revenue_pct FROM per", "revenue demand_pct revenue_pct", 3)
 def unconstrained_participation(spark, d):
     free = F.col("qty") + F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")).otherwise(0.0)
-    per = b.sales(spark, d).groupBy("region", "grp", "brand").agg(F.sum(free).alias("demand"), F.sum("revenue", 3).alias("revenue", 3))
-    return per.withColumns({f"{c}_pct": 100 * share_of_total(F.col(c), "region") for c in ("demand", "revenue", 3)})
+    per = b.sales(spark, d).groupBy("region", "grp", "brand").agg(F.sum(free).alias("demand"), F.sum("revenue").alias("revenue"))
+    return per.withColumns({f"{c}_pct": 100 * share_of_total(F.col(c), "region") for c in ("demand", "revenue")})
 
 
 @query(f"WITH {b.SALES}, per AS (SELECT grp, store, year_month, sum(qty) AS qty, median(qty) AS median_qty FROM sales GROUP BY ALL)--FROM--SELECT *, qty / sum(qty) OVER (PARTITION BY grp, year_month) AS share FROM per", "share")
@@ -109,17 +109,17 @@ def sku_list_share(spark, d):
 
 @query("WITH " + b.SALES + "--FROM--SELECT region, grp, sum(qty) AS qty, sum(revenue) AS revenue FROM sales WHERE brand NOT LIKE '%#1%' GROUP BY ALL", "revenue", 3)
 def sales_by_twin_group(spark, d):
-    return b.sales(spark, d).where(~F.col("brand").contains("#1")).groupBy("region", "grp").agg(F.sum("qty").alias("qty"), F.sum("revenue", 3).alias("revenue", 3))
+    return b.sales(spark, d).where(~F.col("brand").contains("#1")).groupBy("region", "grp").agg(F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"))
 
 
-@query(_S + "SELECT store, flag, revenue, 100 * revenue / sum(revenue) OVER (PARTITION BY store) AS pct FROM (SELECT store, CASE WHEN qty >= 40 THEN 'ATACADO' ELSE 'VAREJO' END AS flag, sum(revenue) AS revenue FROM sales GROUP BY ALL)", "revenue pct", 4)
+@query(_S + "SELECT store, flag, revenue, 100 * revenue / sum(revenue) OVER (PARTITION BY store) AS pct FROM (SELECT store, CASE WHEN qty >= 40 THEN 'ATACADO' ELSE 'VAREJO' END AS flag, sum(revenue) AS revenue FROM sales GROUP BY ALL)", "revenue pct", 3)
 def wholesale_share(spark, d):
-    per = b.sales(spark, d).withColumn("flag", F.when(F.col("qty") >= 40, "ATACADO").otherwise("VAREJO")).groupBy("store", "flag").agg(F.sum("revenue", 3).alias("revenue", 3))
-    return per.withColumn("pct", 100 * share_of_total(F.col("revenue", 3), "store"))
+    per = b.sales(spark, d).withColumn("flag", F.when(F.col("qty") >= 40, "ATACADO").otherwise("VAREJO")).groupBy("store", "flag").agg(F.sum("revenue").alias("revenue"))
+    return per.withColumn("pct", 100 * share_of_total(F.col("revenue"), "store"))
 
 
 def _top_stores(spark, d):
-    return b.sales(spark, d).groupBy("store").agg(F.sum("revenue", 3).alias("revenue", 3)).orderBy(F.desc("revenue", 3), "store").limit(25)
+    return b.sales(spark, d).groupBy("store").agg(F.sum("revenue").alias("revenue")).orderBy(F.desc("revenue"), "store").limit(25)
 
 
 def _offenders(spark, d):
