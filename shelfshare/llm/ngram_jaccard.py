@@ -9,8 +9,12 @@ Every n-gram has a place in one global order: that of its 64-bit hash. The order
 * Coarse fragments count overlaps. Each candidate pair's common n-grams are counted in each fragment separately and the
   partial counts are summed per pair.
 
-Texts with equal sets share one node. Within a meeting, pairs are not all made: members are first compared with one of
-them, the links found join them to groups, and then only pairs across different groups are left to compare, all of them.
+Texts with equal sets share one node. Within a meeting, pairs are not all made. Each member x is compared with one of them,
+c, which also tells in which n-grams they differ: D(x). Two members differ by |D(x)| + |D(y)| - 2 |D(x) and D(y)|. If
+|D(x)| + |D(y)| is within the bound already, both link with c, by the triangle inequality. If not, they must differ from c
+in a common n-gram, so they are found by a prefix-filtered join on what they differ in: with one order of n-grams, the first
+common one is among the first d + 1 of each, and its place bounds the overlap. Edits that texts don't share come first in
+that order. So a large group of near copies makes few pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,6 @@ from .components import connected
 N, LIKENESS = 3, Fraction(9, 10)
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 8
-#: Rounds in which members of a meeting are compared with one of them only.
-STARS = 2
 
 
 def shingle_sets(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -162,12 +164,23 @@ def _meetings(sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """a, b, common: the overlap of each pair, counted per fragment and summed."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("left_grams"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("right_grams"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("left_grams", "right_grams")).cast("long").alias("common"))
-    return partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
+def _overlaps(pairs: DataFrame, segments: DataFrame, likeness: Fraction) -> DataFrame:
+    """The pairs with `common`, their overlap counted per fragment and summed; `apart`, in how many n-grams they differ; and
+    `first`, the first of those in a fixed order: what only a has, then what only b has, each in the global order. As many
+    are kept as two sets near a can differ in, and one more."""
+    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
+    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("x", "y")).cast("long").alias("common"), F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"))
+    most = F.expr(f"({_differing('size_a', f'((size_a * {likeness.denominator}) div {likeness.numerator})', likeness)}) + 1")
+    cut = lambda c: F.slice(F.flatten(F.transform(F.array_sort("parts"), lambda x: x[c])), 1, most.cast("int"))
+    summed = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("common").alias("common"), F.collect_list(F.struct("fragment", F.slice("more", 1, most.cast("int")).alias("more"), F.slice("less", 1, most.cast("int")).alias("less"))).alias("parts"))  # a row per fragment
+    return summed.select("a", "b", "size_a", "size_b", "common", (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("apart"), F.slice(F.concat(cut("more"), cut("less")), 1, most.cast("int")).alias("first"))
+
+
+def _differing(a: str, b: str, likeness: Fraction) -> str:
+    """The SQL form of differing()."""
+    p, q = likeness.numerator, likeness.denominator
+    return f"(({a} + {b}) * {q - p}) div {q + p}"
 
 
 def _segments(docs: DataFrame, nodes: DataFrame, n: int, fragments: int) -> DataFrame:
@@ -185,22 +198,27 @@ def _segments(docs: DataFrame, nodes: DataFrame, n: int, fragments: int) -> Data
             node += [x] * fragments
         return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(list(range(fragments)) * (len(node) // fragments), pa.int32()), pa.array(lists, pa.list_(pa.int64()))], names=["node", "fragment", "grams"])
 
-    return map_texts(rows, run, "node long, fragment int, grams array<long>").where(F.size("grams") > 0).dropDuplicates(["node", "fragment"])
+    return map_texts(rows, run, "node long, fragment int, grams array<long>").dropDuplicates(["node", "fragment"])
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, likeness: Fraction) -> DataFrame:
-    """The pairs (a, b, size_a, size_b) that reach the likeness."""
-    found = pairs.join(_overlaps(pairs.select("a", "b"), segments), ["a", "b"])
-    p, q = likeness.numerator, likeness.denominator
-    return found.where(q * F.col("common") >= p * (F.col("size_a") + F.col("size_b") - F.col("common"))).select("a", "b")
+def _linked(likeness: Fraction):
+    """Whether a pair reaches the likeness."""
+    return F.expr(f"apart <= {_differing('size_a', 'size_b', likeness)}")
 
 
-def _near_sizes(likeness: Fraction):
-    p, q = likeness.numerator, likeness.denominator
-    return q * F.least("size_a", "size_b") >= p * F.greatest("size_a", "size_b")
+def _within(stars: DataFrame, group: DataFrame, likeness: Fraction) -> DataFrame:
+    """Pairs of different groups that may reach the likeness, among the members a of the same b; see components()."""
+    rows = stars.join(group.select(F.col("node").alias("a"), "group"), "a", "left").withColumn("group", F.coalesce("group", "a"))
+    open_ = rows.groupBy("b").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("b")
+    rows = rows.join(open_, "b").select("b", F.posexplode("first").alias("place", "gram"), F.col("a").alias("node"), F.col("size_a").alias("size"), "apart", "group")
+    x, y = (rows.select("b", "gram", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "place", "apart", "group")]) for side in "xy")
+    # The first n-gram that two members differ from b in alike leaves room for no more than this many after it.
+    room = "1 + least(apart_x - place_x, apart_y - place_y) - 1"
+    near = f"apart_x + apart_y - 2 * ({room}) <= {_differing('size_x', 'size_y', likeness)}"
+    return x.join(y, ["b", "gram"]).where("node_x < node_y and group_x <> group_y").where(near).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"), F.col("size_x").alias("size_a"), F.col("size_y").alias("size_b")).distinct()
 
 
-def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, likeness: Fraction = LIKENESS, fragments: int = FRAGMENTS, stars: int = STARS) -> DataFrame:
+def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, likeness: Fraction = LIKENESS, fragments: int = FRAGMENTS) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that a chain of links reaches, its own included.
 
     Two rows link when the Jaccard likeness of their sets is at least `likeness`; the test is in whole numbers. Null, empty
@@ -218,40 +236,21 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     popular = met.groupBy("key").agg(F.count("*").alias("n")).join(met, "key").groupBy("node").agg(F.sum("n").alias("weight"))
     met = stored(met.join(popular, "node"), "members")
 
-    links: list[DataFrame] = []
-    tried: list[DataFrame] = []
-    group = None
-    for turn in range(stars + 1):
-        members = met if group is None else met.join(group, "node", "left")
-        members = members.withColumn("group", F.col("node") if group is None else F.coalesce("group", "node"))
-        if group is not None:  # keys whose members are in one group already are done
-            open_keys = members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-            members = stored(members.join(open_keys, "key", "left_semi"), "open")
-        if turn < stars:
-            # One member for each key: the one with the most company over all its keys; after the first turn, any.
-            pick = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            best = members.groupBy("key").agg(F.max(F.struct(pick.alias("pick"), "node", "size", "group")).alias("top"))
-            pairs = members.join(best, "key").where("node <> top.node and group <> top.group").select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b"), F.when(F.col("node") < F.col("top.node"), F.col("size")).otherwise(F.col("top.size")).alias("size_a"), F.when(F.col("node") < F.col("top.node"), F.col("top.size")).otherwise(F.col("size")).alias("size_b"))
-        else:
-            x = members.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("group").alias("group_a"))
-            y = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("group").alias("group_b"))
-            pairs = x.join(y, "key").where("a < b and group_a <> group_b").select("a", "b", "size_a", "size_b")
-        pairs = pairs.where(_near_sizes(likeness)).distinct()
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < stars:
-                continue
-            break
-        tried.append(pairs.select("a", "b"))
-        links.append(stored(_linked(pairs, segments, likeness), "links"))
-        group = connected(reduce(DataFrame.unionByName, links)).withColumnRenamed("component", "group")
+    # Every member of a meeting is compared with one of them, the one with the most company over all its keys.
+    best = met.groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("top"))
+    pairs = met.join(best, "key").where("node <> top.node").select(F.col("node").alias("a"), F.col("top.node").alias("b"), F.col("size").alias("size_a"), F.col("top.size").alias("size_b")).distinct()
+    stars = stored(_overlaps(pairs, segments, likeness), "stars")
+    links = stored(stars.where(_linked(likeness)).select("a", "b"), "links")
+    group = connected(links).withColumnRenamed("component", "group")
+    # Then the members of each with each other, where they are in different groups still.
+    pairs = stored(_within(stars, group, likeness), "pairs")
+    more = stored(_overlaps(pairs, segments, likeness).where(_linked(likeness)).select("a", "b"), "links")
+    if not more.isEmpty():
+        group = connected(links.unionByName(more)).withColumnRenamed("component", "group")
     # Each node's smallest id, then each group's; the node stands for itself where it has no links.
     nodes = sets.where("node is not null").groupBy("node", "n_shingles").agg(F.min("doc_id").alias("least"))
-    if group is not None:
-        linked = nodes.join(group, "node")
-        least = linked.groupBy("group").agg(F.min("least").alias("low"))
-        nodes = nodes.join(linked.join(least, "group").select("node", "low"), "node", "left").select("node", "n_shingles", F.coalesce("low", "least").alias("least"))
+    linked = nodes.join(group, "node")
+    least = linked.groupBy("group").agg(F.min("least").alias("low"))
+    nodes = nodes.join(linked.join(least, "group").select("node", "low"), "node", "left").select("node", "n_shingles", F.coalesce("low", "least").alias("least"))
     out = sets.select("doc_id", "n_shingles", "node").join(nodes, ["node", "n_shingles"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
