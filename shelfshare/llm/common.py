@@ -7,6 +7,7 @@ import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -191,7 +192,7 @@ def gather(source: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarr
 class Known:
     """The ids of the pieces of text that a task has met: a piece is encoded once, until there are too many and all are forgotten."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000, most_chars: int = 16 << 20):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000, most_chars: int = 16 << 20):
         """encode gives the ids of all pieces, end to end, and the count of each."""
         self.encode, self.most, self.most_chars = encode, most, most_chars
         self.forget()
@@ -217,15 +218,23 @@ class Known:
         self.used += len(ids)
         self.chars += sum(map(len, pieces))
 
-    def __call__(self, split: list[list[str]]) -> list[np.ndarray]:
-        """The ids of each text, given as its pieces."""
+    def _index(self, split: list[list[str]]) -> np.ndarray:
+        """Where the ids of all pieces of all texts are kept, one text after the other."""
         if len(self.index) > self.most or self.chars > self.most_chars:
             self.forget()
-        new = [p for p in dict.fromkeys(p for own in split for p in own) if p not in self.index]
+        new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.index]
         if new:
             self._learn(new)
-        out = []
-        for own in split:
-            index = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))
-            out.append(gather(self.ids, self.at[index], self.count[index]))
-        return out
+        return np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+
+    def flat(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each given as its pieces, end to end, and the count of each text."""
+        index = self._index(split)
+        total = np.append(0, np.cumsum(self.count[index]))
+        stop = np.cumsum([len(own) for own in split])
+        return gather(self.ids, self.at[index], self.count[index]), np.diff(total[np.append(0, stop)])
+
+    def __call__(self, split: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each text, given as its pieces."""
+        ids, count = self.flat(split)
+        return np.split(ids, np.cumsum(count)[:-1]) if split else []

@@ -38,19 +38,41 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = Known(self._pieces)
-        size = self.tokenizer.get_vocab_size()
-        names = [(self.tokenizer.id_to_token(i) or "").removesuffix("</w>") for i in range(size)]
+        self.known, self.parts = Known(self._pieces), Known(self._parts)
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.final = np.array([n.endswith("</w>") for n in names])
+        names = [n.removesuffix("</w>") for n in names]
         self.ends = np.array([bool(n) and any(c in ".!?" for c in n) and not any(c.isalnum() for c in n) for n in names])
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, count = [], []
-        for lo in range(0, len(pieces), 4096):
-            part = pieces[lo : lo + 4096]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(got.ids, np.int32))
-            count.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
-        return np.concatenate(ids), np.concatenate(count)
+        """The ids of stretches without white space. The tokenizer always parts letters and digits from marks after them, and
+        lower-cases, so a stretch is that of its stem in lower case and of the stops and commas at its end."""
+        split = []
+        for piece in pieces:
+            stem = piece.rstrip(".,")
+            if not stem or not stem[-1].isalnum():
+                stem = piece
+            tail = piece[len(stem) :]
+            stem = stem.lower() if stem.isascii() else stem
+            split.append([stem, tail] if tail else [stem])
+        return self.parts.flat(split)
+
+    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts not met before. Words of letters alone are encoded many at once, as each has one word-final token."""
+        words, others = [i for i, p in enumerate(parts) if p.isalpha()], [i for i, p in enumerate(parts) if not p.isalpha()]
+        out: list[np.ndarray] = [None] * len(parts)  # type: ignore[list-item]
+        for lo in range(0, len(words), 64):
+            few = words[lo : lo + 64]
+            ids = np.array(self.tokenizer.encode(" ".join(parts[i] for i in few), add_special_tokens=False).ids, np.int32)
+            stops = np.flatnonzero(self.final[ids]) + 1
+            if len(stops) != len(few):
+                others += few
+                continue
+            for i, own in zip(few, np.split(ids, stops[:-1]), strict=True):
+                out[i] = own
+        for i in others:
+            out[i] = np.array(self.tokenizer.encode(parts[i], add_special_tokens=False).ids, np.int32)
+        return np.concatenate(out), np.array([len(x) for x in out])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         odd = [any(c in t for c in ODD_SPACE) for t in texts]
