@@ -186,7 +186,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         ids = codec(path, pattern).encode([t or "" for t in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, ids array<int>", most=1 << 20)
+    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, ids array<int>", most=1 << 20, keep=True)
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -211,4 +211,4 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         cols = [[len(x) for x in ids], [x.astype("<u4").tobytes() for x in ids], [c.decode(x) for x in ids]]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, cols, [pa.int64(), pa.binary(), pa.binary()])], names=["doc_id", "n_tokens", "ids", "content"])
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, n_tokens long, ids binary, content binary", most=1 << 20)
+    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, n_tokens long, ids binary, content binary", most=1 << 20, keep=True)

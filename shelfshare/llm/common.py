@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
+from weakref import WeakSet
 
 import numpy as np
 import pyarrow as pa
@@ -96,10 +97,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = 2 << 20) -> DataFrame:
-    """f on pieces of df of bounded text size, inside the tasks that read them; no shuffle."""
+def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = 2 << 20, keep: bool = False) -> DataFrame:
+    """f on pieces of df of bounded text size, inside the tasks that read them; no shuffle. keep: f uses a Known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            release()
         for piece in slices(batches, most=most):
             out = f(piece)
             if out is not None:
@@ -189,31 +192,64 @@ def gather(source: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarr
     return source[np.repeat(begin - at + count, count) + np.arange(at[-1])]
 
 
+#: Spark reuses a task's Python process for other operators' tasks.
+_all_known: WeakSet = WeakSet()
+
+
+def release() -> None:
+    """Forgets what tokenizers' tasks in this Python process have kept; the others' tasks call this first."""
+    for known in _all_known:
+        known.forget()
+
+
 class Known:
-    """The ids of the pieces of text that a task has met: a piece is encoded once, until there are too many and all are forgotten."""
+    """The ids of the pieces of text that a task has met. When there are too many, those met once are forgotten."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000, most_chars: int = 16 << 20):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 250_000, most_chars: int = 16 << 20):
         """encode gives the ids of all pieces, end to end, and the count of each."""
+        _all_known.add(self)
         self.encode, self.most, self.most_chars = encode, most, most_chars
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
-        self.at, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.at, self.count, self.uses = (np.zeros(1 << 12, np.int64) for _ in range(3))
         self.used = self.chars = 0
 
+    def _thin_out(self) -> None:
+        """Keeps the pieces used most, at most half of what there may be."""
+        n = len(self.index)
+        uses = self.uses[:n]
+        least = 2
+        while (uses >= least).sum() > self.most // 2:
+            least *= 2
+        keep = np.flatnonzero(uses >= least)
+        names = list(self.index)
+        names = [names[i] for i in keep]
+        at, count = self.at[keep], self.count[keep]
+        ids = gather(self.ids, at, count)
+        self.forget()
+        self.chars = sum(map(len, names))
+        if self.chars > self.most_chars // 2:
+            self.chars = 0
+            return
+        self.index = dict(zip(names, range(len(names)), strict=True))
+        self.ids, self.used = ids, len(ids)
+        self.at, self.count, self.uses = np.cumsum(count) - count, count, np.ones(len(keep), np.int64)
+
     def _learn(self, pieces: list[str]) -> None:
         ids, count = self.encode(pieces)
         first = len(self.index)
         if first + len(pieces) > len(self.at):
             grown = np.zeros(max(len(self.at), first + len(pieces) - len(self.at)), np.int64)
-            self.at, self.count = np.append(self.at, grown), np.append(self.count, grown)
+            self.at, self.count, self.uses = (np.append(x, grown) for x in (self.at, self.count, self.uses))
         if self.used + len(ids) > len(self.ids):
             self.ids = np.append(self.ids, np.zeros(max(len(self.ids), self.used + len(ids) - len(self.ids)), np.int32))
         self.ids[self.used : self.used + len(ids)] = ids
         self.at[first : first + len(pieces)] = self.used + np.cumsum(count) - count
         self.count[first : first + len(pieces)] = count
+        self.uses[first : first + len(pieces)] = 0
         self.index.update(zip(pieces, range(first, first + len(pieces)), strict=True))
         self.used += len(ids)
         self.chars += sum(map(len, pieces))
@@ -221,11 +257,13 @@ class Known:
     def _index(self, split: list[list[str]]) -> np.ndarray:
         """Where the ids of all pieces of all texts are kept, one text after the other."""
         if len(self.index) > self.most or self.chars > self.most_chars:
-            self.forget()
+            self._thin_out()
         new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.index]
         if new:
             self._learn(new)
-        return np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        self.uses[: len(self.index)] += np.bincount(at, minlength=len(self.index))
+        return at
 
     def flat(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each given as its pieces, end to end, and the count of each text."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, U64, map_texts, run_hashes, runs, share_of, stored, texts_of, utf8
+from .common import LOWER, SPACE, U64, map_texts, release, run_hashes, runs, share_of, slices, stored, texts_of, utf8
 
 BITS, SIZE, WINDOW = 14, 48, 2
 #: About so many labelled documents at most are learned from, and a part of them only for calibration.
@@ -59,8 +59,9 @@ def word_vectors(rows: DataFrame) -> np.ndarray:
     """A unit vector per bucket, from the texts of rows. Tasks sum up what they read; what meets has a fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         index, total = index_vectors(), np.zeros((1 << BITS, SIZE), np.int64)
-        for batch in batches:
+        for batch in slices(batches, most=1 << 20):
             bucket, row = tokens(*utf8(batch.column("text")))
             for gap in range(1, WINDOW + 1):
                 near = row[gap:] == row[:-gap]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, texts_of
+from .common import map_texts, release, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "guess")
 # The base patterns and their least lengths.
@@ -193,8 +193,9 @@ def redact(df: DataFrame, text_col: str = "text", strong: float = STRONG, words:
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         ranks = dictionary(words)
-        for batch in batches:
+        for batch in slices(batches, text_col):
             new = [None if t is None else mask(t, find(t, ranks, strong)) for t in batch.column(at).to_pylist()]
             cols = list(batch.columns)
             cols[at] = pa.array(new, batch.schema.types[at])
