@@ -33,12 +33,12 @@ ODD_SPACE = "\x1c\x1d\x1e\x1f"
 class WordTokenizer:
     """ids by the tokenizers library; it drops white space, so a text's ids are those of its parts between white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known, self.parts = Known(self._pieces), Known(self._parts)
+        self.known, self.parts = Known(self._pieces, known), Known(self._parts, known)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.final = np.array([n.endswith("</w>") for n in names])
         names = [n.removesuffix("</w>") for n in names]
@@ -83,8 +83,8 @@ class WordTokenizer:
 
 
 @cache
-def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def tokenizer(path: str, known: int) -> WordTokenizer:
+    return WordTokenizer(path, known)
 
 
 def vocabulary() -> str:
@@ -196,17 +196,18 @@ class Packer:
         self.docs, self.waiting = rest, sum(len(d[1]) for d in rest)
 
 
-def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
+def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, known: int = 800_000) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document's tokens are its ids and END; null and empty texts have END alone. Each task packs the rows it reads, in their
     order, and holds BLOCK tokens and one document at a time; nothing is shuffled. A sequence is of one task; its id holds
     the task's number. Rows of one id are documents of their own. capacity must be a power of two.
+    known is how many words a task's process remembers the ids of: memory against time, results are the same.
     """
     path = path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path)
+        encode = tokenizer(path, known)
         packer = Packer(TaskContext.get().partitionId() << 36, encode.ends, capacity)
 
         def rows(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
