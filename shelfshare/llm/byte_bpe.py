@@ -86,36 +86,41 @@ class Codec:
         self.length = np.array([len(t) for t in tokens], np.int64)
         self.begin = np.cumsum(self.length) - self.length
         self.content = np.frombuffer(b"".join(tokens), np.uint8)
-        self.known = Known(self._pieces)
+        self.known, self.stretches = Known(self._pieces), Known(self._stretches)
 
     # --- encoding
 
-    def merge(self, stretches: list[bytes]) -> list[np.ndarray]:
-        """The ids of each stretch."""
-        out: list[np.ndarray] = [None] * len(stretches)  # type: ignore[list-item]
-        size = np.array([len(s) for s in stretches])
+    def merge(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stretches, end to end, and the count of each."""
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # numbers of stretches, their counts, their ids
+        size = np.array([len(s) for s in stretches], np.int64)
         bucket = np.where(size > LONG, -1, np.where(size <= 16, size, 1 << np.frexp(np.maximum(size, 1) - 1)[1]))
         for width in np.unique(bucket):
             pick = np.flatnonzero(bucket == width)
             if width < 0:
                 for i in pick:
-                    out[i] = self.merge_long(stretches[i])
+                    ids = self.merge_long(stretches[i])
+                    parts.append((np.array([i]), np.array([len(ids)]), ids))
                 continue
             raw = np.frombuffer(b"".join(stretches[i].ljust(width, b"\0") for i in pick), np.uint8).reshape(len(pick), width)
             ids = np.where(np.arange(width) < size[pick, None], self.byte[raw], -1)
-            self._merge_rows(ids, size[pick].copy(), pick, out)
-        return out
-
-    def _merge_rows(self, ids: np.ndarray, size: np.ndarray, names: np.ndarray, out: list) -> None:
-        """All rows of a matrix, a merge per row and round."""
+            parts += self._merge_rows(ids, size[pick].copy(), pick)
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        names, count, ids = map(np.concatenate, zip(*parts, strict=True))
+        begin, order = np.cumsum(count) - count, np.argsort(names)
+        return gather(ids, begin[order], count[order]), count[order]
+
+    def _merge_rows(self, ids: np.ndarray, size: np.ndarray, names: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """All rows of a matrix, a merge per row and round; of the rows that each round finishes, the names, counts and ids."""
         rank = np.where(np.arange(ids.shape[1] - 1) + 1 < size[:, None], self.pairs(ids[:, :-1], ids[:, 1:]), NO_RANK)
         while True:
             rows = np.arange(len(ids))
             where = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(ids), np.int64)
             least = rank[rows, where] if rank.shape[1] else np.full(len(ids), NO_RANK)
             done = least == NO_RANK
-            for i in np.flatnonzero(done):
-                out[names[i]] = ids[i, : size[i]].copy()
+            if done.any():
+                yield names[done], size[done], ids[done][np.arange(ids.shape[1]) < size[done, None]]
             go = ~done
             if not go.any():
                 return
@@ -154,10 +159,10 @@ class Codec:
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, end to end, and the count of each."""
-        stretches: dict[str, int] = {}
-        of = [[stretches.setdefault(s, len(stretches)) for s in self.pattern.findall(piece)] for piece in pieces]
-        ids = self.merge([s.encode("utf-8", "surrogatepass") for s in stretches])
-        return np.concatenate([ids[i] for own in of for i in own]), np.array([sum(len(ids[i]) for i in own) for own in of], np.int64)
+        return self.stretches.flat(list(map(self.pattern.findall, pieces)))
+
+    def _stretches(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.merge([s.encode("utf-8", "surrogatepass") for s in stretches])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as 32-bit integers."""

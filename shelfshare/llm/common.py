@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 from weakref import WeakSet
 
 import numpy as np
@@ -258,10 +258,13 @@ class Known:
         """Where the ids of all pieces of all texts are kept, one text after the other."""
         if len(self.index) > self.most or self.chars > self.most_chars:
             self._thin_out()
-        new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.index]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        flat = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [flat[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            at[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
         self.uses[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         return at
 
