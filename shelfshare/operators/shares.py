@@ -49,6 +49,6 @@ def skeleton(stores: DataFrame, skus: DataFrame) -> DataFrame:
     return stores.select("store").distinct().crossJoin(skus)
 
 
-def fill_matrix(frame: DataFrame, shares: DataFrame, names: list[str]) -> DataFrame:
-    """The skeleton with the shares of each store and group, 0 where there are none."""
-    return frame.join(shares.select("grp", "store", *names), ["grp", "store"], "left").select("store", "sku", "grp", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
+def fill_matrix(frame: DataFrame, shares: DataFrame, names: list[str], more: list[str] | None = None) -> DataFrame:
+    """The skeleton with the shares of each store and group, 0 where there are none. more: other columns of the skeleton to keep."""
+    return frame.join(shares.select("grp", "store", *names), ["grp", "store"], "left").select(*(more or []), "store", "sku", "grp", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])

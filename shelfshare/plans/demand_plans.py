@@ -135,6 +135,13 @@ def matrix_for_category(spark, d):
     return shares.fill_matrix(shares.skeleton(b.stores(spark, d), skus), final_shares(spark, d, b.WINDOWS), [f"share_trimmed_{n}" for n in b.WINDOWS])
 
 
+@query(_SHARES + "--FROM--SELECT s.category, s.store, s.sku, s.grp, " + ", ".join(f"coalesce(share_trimmed_{n}, 0.0) AS share_trimmed_{n}" for n in b.WINDOWS) + " FROM (SELECT p_brand AS category, s_suppkey AS store, p_partkey AS sku, p_type AS grp FROM supplier CROSS JOIN part WHERE p_size % 2 = 0) s LEFT JOIN finals f ON f.grp = s.grp AND f.store = s.store", " ".join(f"share_trimmed_{n}" for n in b.WINDOWS))
+def matrix_full(spark, d):
+    """The filled matrix of every category; matrix_for_category has one."""
+    skus = b.read(spark, d, "part").where("p_size % 2 = 0").select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("grp"), F.col("p_brand").alias("category"))
+    return shares.fill_matrix(shares.skeleton(b.stores(spark, d), skus), final_shares(spark, d, b.WINDOWS), [f"share_trimmed_{n}" for n in b.WINDOWS], ["category"])
+
+
 @query("SELECT p_partkey AS sku, p_type || '_' || substr(p_name, 1, 3) AS grp FROM part")
 def need_group_rule(spark, d):
     return b.read(spark, d, "part").select(F.col("p_partkey").alias("sku"), need_group("p_type", "p_name").alias("grp"))

@@ -17,3 +17,11 @@ def test_forecast_has_every_sku(spark):
     assert {r.sku for r in QUERIES["daily_forecast_full"](spark, D).select("sku").collect()} == sold
     assert {r.sku for r in QUERIES["forecast_consolidation_full"](spark, D).select("sku").collect()} == sold
     assert {r.sku for r in QUERIES["forecast_checks_full"](spark, D).select("sku").collect()} == sold
+
+
+def test_matrix_has_every_category(spark):
+    want = set(one("SELECT p_brand, p_partkey FROM '$D/part.parquet' WHERE p_size % 2 = 0"))
+    got = QUERIES["matrix_full"](spark, D)
+    assert len({k for k, _ in want}) == 25
+    assert {(r.category, r.sku) for r in got.select("category", "sku").collect()} == want
+    assert got.count() == len(want) * one("SELECT count(*) FROM '$D/supplier.parquet'")[0][0]
