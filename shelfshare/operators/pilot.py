@@ -67,12 +67,16 @@ def band_error(df: DataFrame, band: str, new: str, old: str, real: str, groups:
     return s.withColumns({f"error_{new}": F.round(100 * F.abs(F.col(new) - F.col(real)), 4), f"error_{old}": F.round(100 * F.abs(F.col(old) - F.col(real)), 4)})
 
 
-def daily_lost_revenue(df: DataFrame, days: list[str]) -> DataFrame:
-    """metric by day as columns, numbers as text with a decimal comma: revenue, lost revenue, lost percent (null on Sundays)."""
+def daily_lost_revenue_rows(df: DataFrame) -> DataFrame:
+    """day, metric, value of every day there is: revenue, lost revenue, lost percent (null on Sundays)."""
     per = df.groupBy("day").agg(F.sum("revenue").alias("revenue"), F.sum("lost_revenue").alias("lost"))
     pct = F.when(F.dayofweek("day") == 1, None).otherwise(100 * F.try_divide("lost", "revenue"))
-    rows = per.select(F.col("day").cast("string").alias("day"), F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in (("revenue", F.col("revenue")), ("lost revenue", F.col("lost")), ("lost pct", pct))])))
-    return rows.withColumn("value", comma_number(F.col("value"))).groupBy("metric").pivot("day", days).agg(F.max("value"))
+    return per.select(F.col("day").cast("string").alias("day"), F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in (("revenue", F.col("revenue")), ("lost revenue", F.col("lost")), ("lost pct", pct))])))
+
+
+def daily_lost_revenue(df: DataFrame, days: list[str]) -> DataFrame:
+    """The same with the listed days as columns, numbers as text with a decimal comma."""
+    return daily_lost_revenue_rows(df).withColumn("value", comma_number(F.col("value"))).groupBy("metric").pivot("day", days).agg(F.max("value"))
 
 
 def in_days(column: str, start: str, end: str) -> Column:

@@ -56,6 +56,16 @@ def month_pivot(df: DataFrame, row: str, months: list[int], value: str) -> DataF
     return part.groupBy(row).pivot("year_month", months).agg(F.max("pct")).withColumnsRenamed({str(m): f"m{m}" for m in months}).fillna(0.0)
 
 
+def month_rows(df: DataFrame, row: str, value: str, by: list[str] | None = None) -> DataFrame:
+    """by, row, year_month, value and its part in percent of the month's total within by; 0 for each month found there in which a row has none."""
+    by = by or []
+    per = df.groupBy(*by, row, "year_month").agg(F.sum(value).alias(value))
+    at = df.groupBy(*by).agg(F.collect_set(row).alias("rows_"), F.collect_set("year_month").alias("months_"))  # no more months than the calendar has
+    grid = at.select(*by, F.explode("rows_").alias(row), "months_").select(*by, row, F.explode("months_").alias("year_month"))
+    dense = grid.join(per, [*by, row, "year_month"], "left").fillna(0.0, [value])
+    return dense.withColumn("pct", 100 * share_of_total(F.col(value), *by, "year_month"))
+
+
 def moving_mean(df: DataFrame, keys: list[str], value: str, rows: int = 3) -> DataFrame:
     return df.withColumn("moving", F.avg(value).over(Window.partitionBy(*keys).orderBy("day").rowsBetween(1 - rows, 0)))
 

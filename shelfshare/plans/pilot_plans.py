@@ -110,3 +110,11 @@ long AS (SELECT day, 'revenue' AS metric, revenue AS value FROM per UNION ALL SE
 SELECT metric, """ + ", ".join(f"max(CASE WHEN day = DATE '{x}' THEN {_TEXT} END) AS \"{x}\"" for x in _DAYS) + " FROM long GROUP BY metric")
 def daily_lost_revenue(spark, d):
     return pilot.daily_lost_revenue(b.observed(spark, d).where(pilot.in_days("day", _DAYS[0], _DAYS[-1])), _DAYS)
+
+
+@query(f"""WITH {b.OBSERVED}, per AS (SELECT day, sum(revenue) AS revenue, sum(lost_revenue) AS lost FROM observed WHERE period IN ('baseline', 'pilot') GROUP BY day),
+long AS (SELECT day, 'revenue' AS metric, revenue AS value FROM per UNION ALL SELECT day, 'lost revenue', lost FROM per UNION ALL SELECT day, 'lost pct', CASE WHEN isodow(day) = 7 THEN NULL ELSE 100 * lost / nullif(revenue, 0) END FROM per)--FROM--
+SELECT CAST(day AS VARCHAR) AS day, metric, value FROM long""", "value", 2)
+def daily_lost_revenue_full(spark, d):
+    """Every day of the baseline and the pilot, as rows; daily_lost_revenue has three days as columns."""
+    return pilot.daily_lost_revenue_rows(b.observed(spark, d).where(F.col("period").isin("baseline", "pilot")))

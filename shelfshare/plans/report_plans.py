@@ -67,6 +67,23 @@ def monthly_pivot_share(spark, d):
     return reports.month_pivot(b.sales(spark, d).where(F.col("year_month").between(199801, 199803)), "band", _MONTHS, "qty")
 
 
+def _month_sql(by=""):
+    k = f"{by}, " if by else ""
+    grid = f"SELECT * FROM (SELECT DISTINCT {k}band FROM sales) JOIN (SELECT DISTINCT {k}year_month FROM sales) USING ({by})" if by else "SELECT * FROM (SELECT DISTINCT band FROM sales) CROSS JOIN (SELECT DISTINCT year_month FROM sales)"
+    return f"WITH {b.SALES}, grid AS ({grid}), per AS (SELECT {k}band, year_month, sum(qty) AS qty FROM sales GROUP BY ALL), dense AS (SELECT {k}band, year_month, coalesce(qty, 0.0) AS qty FROM grid LEFT JOIN per USING ({k}band, year_month))--FROM--SELECT {k}band, year_month, qty, coalesce(100 * qty / nullif(sum(qty) OVER (PARTITION BY {k}year_month), 0), 0.0) AS pct FROM dense"
+
+
+@query(_month_sql(), "pct")
+def monthly_share_full(spark, d):
+    """Every month of sales, as rows; monthly_pivot_share has three months as columns."""
+    return reports.month_rows(b.sales(spark, d), "band", "qty")
+
+
+@query(_month_sql("grp"), "pct")
+def monthly_share_by_group(spark, d):
+    return reports.month_rows(b.sales(spark, d), "band", "qty", ["grp"])
+
+
 @query(f"WITH {b.SALES}, per AS (SELECT channel, day, sum(qty) AS qty FROM sales GROUP BY ALL)--FROM--SELECT channel, day, qty, avg(qty) OVER (PARTITION BY channel ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving FROM per", "moving")
 def moving_mean_3(spark, d):
     per = b.sales(spark, d).groupBy("channel", "day").agg(F.sum("qty").alias("qty"))
