@@ -15,30 +15,34 @@ from shelfshare.llm.language_id import remainder
 LEAST_LANGUAGE = 0.5
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs without the ids of rejected, which is written first so that its size is known."""
-    gone = stored(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
-    return docs.join(small(gone, 16), "doc_id", "left_anti").select(docs.columns)
+#: A key of the rows, as ids may be null or repeated.
+ROW = "row_key_"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts 1 for."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
-    return _without(docs, quality.score(docs, model).where("predicted = 0"))
+    return quality.score(docs, model, whole=True).where("predicted <> 0").select("row.*")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     model = language_id.train(table(spark, sf_dir, "documents"), remainder("doc_id", 4) != 2)
-    found = language_id.predict(docs, model)
-    return _without(docs, found.where((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LEAST_LANGUAGE)))
+    found = language_id.predict(docs, model, whole=True)
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group that 3-word shingles with a Jaccard likeness of 0.9 link."""
-    kept = _without(docs, ngram_jaccard.components(docs).where("doc_id <> component_id"))
-    ids = docs.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
-    return kept.dropDuplicates(["doc_id"]) if ids["rows"] > ids["ids"] else kept
+    """One row of each group that 3-word shingles with a Jaccard likeness of 0.9 link: that of the smallest id, or of a null id where there are no others.
+
+    Of rows of the smallest id one stays; a text without words links with nothing and stays.
+    """
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")  # the key depends on how the rows were read
+    found = stored(ngram_jaccard.components(rows, ROW).select("doc_id", "component_id"), "components")
+    ranks = rows.select(F.col(ROW).alias("doc_id"), F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.col(ROW).alias("row")).alias("rank"))
+    kept = found.join(ranks, "doc_id").groupBy("component_id").agg(F.min("rank").alias("least")).select(F.col("least.row").alias("doc_id"))
+    gone = stored(found.join(kept, "doc_id", "left_anti").select(F.col("doc_id").alias(ROW)), "rejected")
+    return rows.join(small(gone, 16), ROW, "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

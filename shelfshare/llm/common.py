@@ -111,9 +111,19 @@ def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
-def texts_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the two columns an operator needs, under fixed names, so that clashing extra columns don't matter."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def texts_of(df: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+    """Only the two columns an operator needs, under fixed names, so that clashing extra columns don't matter. whole: all of the row too, as `row`."""
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*df.columns).alias("row")] if whole else []))
+
+
+def with_row(out: pa.RecordBatch, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """out with the column `row` of the batch that it was made from, if that has one."""
+    return out.append_column("row", batch.column("row")) if "row" in batch.schema.names else out
+
+
+def row_type(df: DataFrame, whole: bool) -> str:
+    """What with_row() adds to a schema."""
+    return f", row {df.select(F.struct(*df.columns).alias('row')).schema['row'].dataType.simpleString()}" if whole else ""
 
 
 # --- hashing --------------------------------------------------------------------------------

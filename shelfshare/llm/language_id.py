@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, map_texts, share_of, texts_of
+from .common import U64, map_texts, row_type, share_of, texts_of, with_row
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -101,11 +101,11 @@ def train(df: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
     return Model(languages, np.log(docs / docs.sum()), np.log(matrix / matrix.sum(axis=0)))
 
 
-def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest learned language of each whole text and its posterior.
 
     `und` with score 0 for null, empty and letterless texts, and for all if nothing was learned. A tie goes to the language
-    first in the alphabet. One row out per row in.
+    first in the alphabet. One row out per row in. whole: with all of the row, as `row`.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
 
@@ -128,9 +128,9 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             p /= p.sum(axis=1, keepdims=True)
             for i, k, s in zip(known, p.argmax(axis=1), p.max(axis=1), strict=True):
                 langs[i], scores[i] = m.languages[k], min(1.0, s)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+        return with_row(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]), batch)
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, lang_pred string, score double", most=1 << 20)
+    return map_texts(texts_of(df, id_col, text_col, whole), run, "doc_id long, lang_pred string, score double" + row_type(df, whole), most=1 << 20)
 
 
 def remainder(id_col: str, of: int) -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, U64, map_texts, release, run_hashes, runs, share_of, slices, stored, texts_of, utf8
+from .common import LOWER, SPACE, U64, map_texts, release, row_type, run_hashes, runs, share_of, slices, stored, texts_of, utf8, with_row
 
 BITS, SIZE, WINDOW = 14, 48, 2
 #: About so many labelled documents at most are learned from, and a part of them only for calibration.
@@ -184,16 +184,16 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
     return Model(vectors, mean, scale, first, second, temperature, 1e-6)
 
 
-def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
     """doc_id, score, predicted (1 if score >= threshold) of each whole text; null text counts as empty.
 
-    Without a model every score is 0.5. One row out per row in.
+    Without a model every score is 0.5. One row out per row in. whole: with all of the row, as `row`.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = held.value
         p = m.score(pooled(batch.column("text"), m.vectors)) if m else np.full(batch.num_rows, 0.5)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
+        return with_row(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]), batch)
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, score double, predicted int")
+    return map_texts(texts_of(df, id_col, text_col, whole), run, "doc_id long, score double, predicted int" + row_type(df, whole))
