@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from .common import U64, mix, texts_of
 
-K, TUPLE, SKETCHES = 5, 2, 16
+K, TUPLE, SKETCHES = 5, 2, 64
 _seeds = np.random.default_rng(11)
 ODD = _seeds.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 XOR = _seeds.integers(1, 1 << 63, 256, dtype=np.uint64)
