@@ -8,7 +8,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
-from weakref import WeakSet
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, from spark.checkpoint.dir; a fresh local one only where that is unset (tests)."""
+    """The cluster's shared folder, from spark.checkpoint.dir. Where that is unset, a local session (tests) gets a fresh one;
+    on a cluster executors could not see each other's files, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         root = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.conf.set("spark.checkpoint.dir", root)
@@ -37,25 +39,43 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed when the driver's Python ends."""
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
 
-    def remove() -> None:
-        with contextlib.suppress(Exception):
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-    atexit.register(remove)
-    return path
+class Tables:
+    """Tables that one computation writes to the shared folder: the lineage ends there, and lost executors lose nothing."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """df written as Parquet and read again. A table of the same name stays until drop() or the end."""
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Removes tables that nothing will read any more."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove(self.spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: the lineage ends there, and lost executors lose nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as Parquet to the shared folder and read again, for as long as the driver's Python runs."""
+    return Tables(df.sparkSession).store(df, name)
 
 
 #: A side is broadcast only when its measured size is below this; beyond it Spark shuffles both sides.
@@ -69,14 +89,17 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
 
 def share_of(key: Column, wanted: int, total: int) -> Column:
     """True for about wanted of total rows, chosen by a hash of key, so that the choice doesn't depend on partitions."""
-    parts = 1 << 20
-    return F.lit(True) if total <= wanted else F.pmod(F.xxhash64(key), F.lit(parts)) < F.lit(int(parts * wanted / total))
+    return F.lit(True) if total <= wanted else F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit((wanted << 63) // total)
 
 
 # --- Arrow text -----------------------------------------------------------------------------
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+#: Bytes of text that are worked on at once: the temporary arrays of a piece are ten to fifty times as large.
+PIECE_BYTES = 1 << 18
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches again, cut between rows so that a piece has about `most` bytes of text; one longer text is a piece of its own."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -97,12 +120,10 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = 2 << 20, keep: bool = False) -> DataFrame:
-    """f on pieces of df of bounded text size, inside the tasks that read them; no shuffle. keep: f uses a Known."""
+def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = PIECE_BYTES) -> DataFrame:
+    """f on pieces of df of bounded text size, inside the tasks that read them; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not keep:
-            release()
         for piece in slices(batches, most=most):
             out = f(piece)
             if out is not None:
@@ -111,19 +132,20 @@ def map_texts(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
-def texts_of(df: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
-    """Only the two columns an operator needs, under fixed names, so that clashing extra columns don't matter. whole: all of the row too, as `row`."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*df.columns).alias("row")] if whole else []))
+def texts_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Only the two columns an operator needs, under fixed names, so that clashing extra columns don't matter."""
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def with_row(out: pa.RecordBatch, batch: pa.RecordBatch) -> pa.RecordBatch:
-    """out with the column `row` of the batch that it was made from, if that has one."""
-    return out.append_column("row", batch.column("row")) if "row" in batch.schema.names else out
+def keep_rows(df: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of df whose text keep() is true for, with all their columns as they are; each text travels once."""
+    at = df.columns.index(text_col)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, at):
+            yield piece.filter(pa.array(keep(piece.column(at)), pa.bool_()))
 
-def row_type(df: DataFrame, whole: bool) -> str:
-    """What with_row() adds to a schema."""
-    return f", row {df.select(F.struct(*df.columns).alias('row')).schema['row'].dataType.simpleString()}" if whole else ""
+    return df.mapInArrow(run, df.schema)
 
 
 # --- hashing --------------------------------------------------------------------------------
@@ -139,29 +161,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BASE = U64(0x9E3779B97F4A7C15)
 #: A random 64-bit value per byte, from a fixed seed.
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
+#: Bytes that are hashed at once.
+BLOCK = 1 << 16
+UP, DOWN = (np.multiply.accumulate(np.append(U64(1), np.full(BLOCK, U64(step)))) for step in (int(_BASE), pow(int(_BASE), -1, 1 << 64)))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, up to n."""
-    if len(_powers["up"]) <= n:
-        size = max(n + 1, 1 << 21)
-        inverse = U64(pow(int(_BASE), -1, 1 << 64))
-        for name, step in (("up", _BASE), ("down", inverse)):
-            p = np.full(size, step)
-            p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"], _powers["down"]
+def _long_sum(data: np.ndarray) -> np.uint64:
+    """The polynomial of a run longer than BLOCK, taken a block at a time."""
+    total, factor = np.zeros(1, U64), np.ones(1, U64)
+    for lo in range(0, len(data), BLOCK):
+        part = data[lo : lo + BLOCK]
+        total += (_BYTE[part] * UP[: len(part)]).sum() * factor
+        factor *= UP[BLOCK]
+    return total[0]
 
 
 def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each run, by prefix sums of a polynomial; equal bytes give equal hashes."""
-    if not len(start):
-        return np.zeros(0, U64)
-    up, down = _power(len(data))
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+    """A 64-bit hash of data[start:end] for each run, by prefix sums of a polynomial; equal bytes give equal hashes.
+
+    The runs are in order and don't overlap. Blocks of runs are hashed one after the other, so the working memory is fixed.
+    """
+    out, lo = np.zeros(len(start), U64), 0
+    while lo < len(start):
+        first = int(start[lo])
+        hi = int(np.searchsorted(end, first + BLOCK, "right"))
+        if hi <= lo:
+            out[lo] = _long_sum(data[first : int(end[lo])])
+            lo += 1
+            continue
+        part = data[first : int(end[hi - 1])]
+        total = np.zeros(len(part) + 1, U64)
+        np.cumsum(_BYTE[part] * UP[: len(part)], out=total[1:])
+        a, b = start[lo:hi] - first, end[lo:hi] - first
+        out[lo:hi] = (total[b] - total[a]) * DOWN[a]
+        lo = hi
+    return mix(out + (end - start).astype(U64))
 
 
 def runs(member: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,22 +236,11 @@ def gather(source: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarr
     return source[np.repeat(begin - at + count, count) + np.arange(at[-1])]
 
 
-#: Spark reuses a task's Python process for other operators' tasks.
-_all_known: WeakSet = WeakSet()
-
-
-def release() -> None:
-    """Forgets what tokenizers' tasks in this Python process have kept; the others' tasks call this first."""
-    for known in _all_known:
-        known.forget()
-
-
 class Known:
     """The ids of the pieces of text that a task has met. When there are too many, those met once are forgotten."""
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 250_000, most_chars: int = 16 << 20):
         """encode gives the ids of all pieces, end to end, and the count of each."""
-        _all_known.add(self)
         self.encode, self.most, self.most_chars = encode, most, most_chars
         self.forget()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Tables
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -29,10 +29,11 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     A hub's neighbours are summed up per task before they meet. The rounds needed grow with the logarithm of the longest
     chain; it ends when a round changes nothing.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    before = None
-    for _ in range(most_rounds):
-        edges = stored(_small(_large(edges)), "edges")
+    tables, before = Tables(links.sparkSession), None
+    edges = tables.store(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges 0")
+    for i in range(1, most_rounds + 1):
+        edges = tables.store(_small(_large(edges)), f"edges {i}")
+        tables.drop(f"edges {i - 1}")
         # Stars only: every edge ends in a root. Counts and sums tell whether the round changed anything.
         now = edges.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")).first()
         if now == before:
@@ -41,4 +42,6 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("the components did not settle")
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return stored(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots), "components")
+    found = tables.store(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots), "components")
+    tables.drop(f"edges {i}")
+    return found

@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, map_texts, row_type, share_of, texts_of, with_row
+from .common import U64, keep_rows, map_texts, share_of, texts_of
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: About so many training documents at most, chosen by a hash of the id.
-SAMPLE = 20_000
+#: About so many training documents of each language at most, chosen by a hash of the id.
+SAMPLE = 5_000
 UNKNOWN = "und"
+#: A text fits its language from here on.
+LEAST_FIT = 0.4
 LETTER = re.compile(r"[^\W\d_]")
 CHUNK = 1 << 20
 _letters: list[np.ndarray] = []
@@ -64,18 +66,43 @@ class Model:
     languages: tuple[str, ...]
     log_prior: np.ndarray
     log_prob: np.ndarray  # buckets x languages
+    usual: np.ndarray  # the mean log-probability of an n-gram of each language's own documents
+
+    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of texts with a letter: the language's number, its posterior, and the fit."""
+        cols, vals, starts, at = [], [], [], 0
+        for text in texts:  # the texts as a sparse matrix, row after row
+            c = counts(text, len(self.log_prob))
+            hit = np.flatnonzero(c)
+            cols.append(hit)
+            vals.append(c[hit])
+            starts.append(at)
+            at += len(hit)
+        cols, vals = np.concatenate(cols), np.concatenate(vals)
+        likely = np.add.reduceat(vals[:, None] * self.log_prob[cols], starts, axis=0)
+        posterior = likely + self.log_prior
+        p = np.exp(posterior - posterior.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        best = p.argmax(axis=1)
+        even = -np.log(len(self.log_prob))
+        mean = likely[np.arange(len(best)), best] / np.add.reduceat(vals, starts)
+        return best, np.minimum(p.max(axis=1), 1.0), (mean - even) / (self.usual[best] - even)
 
 
 def train(df: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, buckets: int = BUCKETS) -> Model | None:
     """A model from the rows where allowed holds and the language is known; None if there are none.
 
-    What reaches the driver is one count per language and bucket, however many rows there are.
+    Of each language about `sample` documents are learned from, so that rare ones are learned too; a repeated row counts as
+    often as it is there. What reaches the driver is a count per language, and one per language and bucket.
     """
-    rows = df.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    total = rows.select(id_col).count()
+    rows = df.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+    total = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
     if not total:
         return None
-    rows = rows.where(share_of(F.col(id_col), sample, total)).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    chosen = F.lit(False)
+    for lang, n in sorted(total.items()):
+        chosen = chosen | (F.col("lang") == lang) & share_of(F.col("id"), sample, n)
+    rows = rows.where(chosen).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -91,46 +118,53 @@ def train(df: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
     found = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(set(found["lang"])))
     if not languages:
-        return None
+        raise ValueError("the sample is empty")
     code = {x: i for i, x in enumerate(languages)}
     matrix, docs = np.ones((buckets, len(languages))), np.zeros(len(languages))
     for lang, part in found.groupby("lang"):
         real = part[part["bucket"] >= 0]
         matrix[real["bucket"].to_numpy(), code[lang]] += real["n"].to_numpy()
         docs[code[lang]] = part[part["bucket"] < 0]["n"].sum()
-    return Model(languages, np.log(docs / docs.sum()), np.log(matrix / matrix.sum(axis=0)))
+    log_prob = np.log(matrix / matrix.sum(axis=0))
+    return Model(languages, np.log(docs / docs.sum()), log_prob, (matrix * log_prob).sum(axis=0) / matrix.sum(axis=0))
+
+
+def _predicted(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    langs, scores, fit = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    known = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
+    if known:
+        best, scores[known], fit[known] = model.predict([texts[i] for i in known])
+        for i, k in zip(known, best, strict=True):
+            langs[i] = model.languages[k]
+    return langs, scores, fit
 
 
-def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
-    """doc_id, lang_pred, score: the likeliest learned language of each whole text and its posterior.
+def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score, fit: the likeliest learned language of each whole text, its posterior, and how well it fits.
 
-    `und` with score 0 for null, empty and letterless texts, and for all if nothing was learned. A tie goes to the language
-    first in the alphabet. One row out per row in. whole: with all of the row, as `row`.
+    The posterior only compares the learned languages. fit, which doesn't grow with length, is 1 where a mean n-gram is as
+    likely as in the language's own documents, and 0 where it is as likely as any bucket. `und` with score and fit 0 for
+    null, empty and letterless texts, and for all if nothing was learned. A tie goes to the language first in the alphabet.
+    One row out per row in, also for repeated rows.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m, texts = held.value, batch.column("text").to_pylist()
-        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if m and t and LETTER.search(t)]
-        if known:
-            cols, vals, starts, at = [], [], [], 0
-            for i in known:  # the batch as a sparse matrix, row after row
-                c = counts(texts[i], len(m.log_prob))
-                hit = np.flatnonzero(c)
-                cols.append(hit)
-                vals.append(c[hit])
-                starts.append(at)
-                at += len(hit)
-            cols, vals = np.concatenate(cols), np.concatenate(vals)
-            loglik = np.add.reduceat(vals[:, None] * m.log_prob[cols], starts, axis=0) + m.log_prior
-            p = np.exp(loglik - loglik.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            for i, k, s in zip(known, p.argmax(axis=1), p.max(axis=1), strict=True):
-                langs[i], scores[i] = m.languages[k], min(1.0, s)
-        return with_row(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]), batch)
-
-    return map_texts(texts_of(df, id_col, text_col, whole), run, "doc_id long, lang_pred string, score double" + row_type(df, whole), most=1 << 20)
+        langs, scores, fit = _predicted(held.value, batch.column("text").to_pylist())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores), pa.array(fit)], names=["doc_id", "lang_pred", "score", "fit"])
+
+    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, lang_pred string, score double, fit double")
+
+
+def keep(df: DataFrame, model: Model | None, text_col: str = "text", least_fit: float = LEAST_FIT) -> DataFrame:
+    """The rows of df whose text has a recognised language: one was predicted, and fits."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+
+    def fits(texts: pa.Array) -> np.ndarray:
+        langs, _, fit = _predicted(held.value, texts.to_pylist())
+        return (np.array(langs) != UNKNOWN) & (fit >= least_fit)
+
+    return keep_rows(df, text_col, fits)
 
 
 def remainder(id_col: str, of: int) -> Column:

@@ -4,17 +4,19 @@ Every n-gram has a place in one global order: that of its 64-bit hash. The order
 
 * Fine fragments find candidates. Two sets with a Jaccard likeness of t or more differ in at most d n-grams, d growing with
   their size; so if the order is cut into d + 1 fragments, both agree wholly in one of them at least. A set emits a hash of
-  its part in each fragment; sets with an equal part meet. Sizes go in classes of ratio t, and a set emits for its class and
-  the next, so that both sets of a pair use one cut.
+  its part in each fragment; sets with an equal part meet. Sizes go in classes; a set emits for its class, and for the next
+  if it can link with a set there, so that both sets of a pair use one cut.
 * Coarse fragments count overlaps. Each candidate pair's common n-grams are counted in each fragment separately and the
   partial counts are summed per pair.
 
 Texts with equal sets share one node. Within a meeting, pairs are not all made. Each member x is compared with one of them,
-c, which also tells in which n-grams they differ: D(x). Two members differ by |D(x)| + |D(y)| - 2 |D(x) and D(y)|. If
-|D(x)| + |D(y)| is within the bound already, both link with c, by the triangle inequality. If not, they must differ from c
-in a common n-gram, so they are found by a prefix-filtered join on what they differ in: with one order of n-grams, the first
-common one is among the first d + 1 of each, and its place bounds the overlap. Edits that texts don't share come first in
-that order. So a large group of near copies makes few pairs, and no link is lost.
+the hub, which also tells in which n-grams they differ: D(x). Two members differ by |D(x)| + |D(y)| - 2 |D(x) and D(y)|. If
+|D(x)| + |D(y)| is within the bound already, both link with the hub, by the triangle inequality. If not, they must differ
+from the hub in common n-grams. They are found by a prefix-filtered join on what they differ in, the n-grams ordered by how
+many members of the meeting have them in their D, the rarest first: what the hub alone has or lacks comes last and makes no
+pairs. Their overlap is counted per fragment too, on the D. So a large group of near copies makes few pairs, and no link is
+lost. N-grams and sets are told apart by 64-bit hashes: of 10^12 different n-grams some 30,000 pairs share one, which can
+only add to a pair's overlap, by one.
 """
 
 from __future__ import annotations
@@ -23,18 +25,25 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, map_texts, mix, run_hashes, small, stored, texts_of, utf8, words
+from .common import LOWER, U64, Tables, map_texts, mix, run_hashes, slices, small, texts_of, utf8, words
 from .components import connected
 
 N, LIKENESS = 3, Fraction(9, 10)
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 8
+#: A key that a task meets so often is dealt out over SALTS tasks; a hub's members are dealt out in parts of about MEMBERS.
+OFTEN, SALTS, MEMBERS = 4, 64, 512
+#: Nodes remembered per task, so that copies emit their keys once; forgetting only costs repeats.
+REMEMBERED = 1 << 17
+#: A node with a 1/HEAVY part of all rows or more, of which there are HEAVY at most, is broadcast to its rows.
+HEAVY = 1000
 
 
 def shingle_sets(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +82,10 @@ def shingle_sets(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else grams, np.append(0, np.cumsum(lengths))
 
 
+#: Size classes span so many factors of the likeness: wider ones let fewer sets emit for two, but cut small sets finer.
+SPAN = 3
+
+
 @cache
 def _classes(likeness: Fraction) -> tuple[list[int], list[int]]:
     """The least size of each size class, and the number of fragments for pairs with one set in the class and none above it.
@@ -81,8 +94,17 @@ def _classes(likeness: Fraction) -> tuple[list[int], list[int]]:
     """
     limits = [1]
     while limits[-1] < 1 << 40:
-        limits.append(int(limits[-1] / likeness) + 1)
-    return limits, [differing(high - 1, high - 1, likeness) + 1 for high in limits[1:]]
+        limits.append(int(limits[-1] / likeness**SPAN) + 1)
+    most = [differing(high - 1, high - 1, likeness) for high in limits[1:]]
+    return limits, [d + 1 + _spare(d) for d in most]
+
+
+def _spare(d: int) -> int:
+    """How many fragments more than d + 1 there are, so that two sets that link agree in so many more.
+
+    A set with no more empty fragments than that emits none for them: its agreements with another are not all empty ones.
+    """
+    return d // 100
 
 
 def node_of(grams: np.ndarray) -> int:
@@ -101,13 +123,17 @@ def parts(grams: np.ndarray, likeness: Fraction = LIKENESS) -> np.ndarray:
     limits, cuts = _classes(likeness)
     own = bisect_right(limits, n) - 1
     total = np.append(U64(0), np.cumsum(mix(grams)))
-    out = []
+    out = [np.zeros(0, U64)]
     for k in (own, own + 1):  # the pairs with one set in class k-1 or k and the other in k
         fragments = cuts[k]
+        if fragments == 1 or k > own and n < limits[k] * likeness:  # one fragment: only equal sets link, and they are one node
+            continue
         edge = np.searchsorted(grams >> U64(32), (np.arange(fragments + 1, dtype=U64) << U64(32)) // U64(fragments))
         edge[-1] = n
         content = total[edge[1:]] - total[edge[:-1]]
-        out.append(mix(content ^ mix(np.arange(fragments, dtype=U64) + U64(k << 32))))
+        key = mix(content ^ mix(np.arange(fragments, dtype=U64) + U64(k << 32)))
+        full = edge[1:] > edge[:-1]
+        out.append(key[full] if fragments - full.sum() <= _spare(differing(limits[k + 1] - 1, limits[k + 1] - 1, likeness)) else key)
     return np.concatenate(out)
 
 
@@ -135,70 +161,145 @@ def describe(docs: DataFrame, n: int = N, likeness: Fraction = LIKENESS) -> Data
     return map_texts(docs, run, "doc_id long, n_shingles long, node long, keys array<long>")
 
 
+KEYED = "key long, salt int, node long, size long"
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per key of every node that is new to the task. Rows of a key that is met often go to salts above 0, where they
+    count as met; one of them also goes to salt 0, where it waits for the key's rows from other tasks."""
+    seen: set[int] = set()
+    for batch in batches:
+        nodes = batch.column("node").to_numpy()
+        _, first = np.unique(nodes, return_index=True)
+        new = np.array([i for i in np.sort(first) if int(nodes[i]) not in seen], np.int64)
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        seen.update(nodes[new].tolist())
+        rows = batch.take(pa.array(new))
+        count = rows.column("keys").value_lengths().to_numpy()
+        key = rows.column("keys").flatten().to_numpy()
+        node, size = (np.repeat(rows.column(c).to_numpy(), count) for c in ("node", "n_shingles"))
+        order = np.argsort(key, kind="stable")
+        start = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1])) if len(key) else np.zeros(0, np.int64)
+        run = np.diff(np.append(start, len(key)))
+        often = np.zeros(len(key), bool)
+        often[order] = np.repeat(run >= OFTEN, run)
+        beacon = order[start[run >= OFTEN]]
+        pick = np.append(np.arange(len(key)), beacon)
+        salt = np.where(often, 1 + (node.view(U64) % U64(SALTS)).astype(np.int32), 0).astype(np.int32)
+        salt = np.append(salt, np.zeros(len(beacon), np.int32))
+        for lo in range(0, len(pick), 1 << 16):
+            p = pick[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[p]), pa.array(salt[lo : lo + (1 << 16)]), pa.array(node[p]), pa.array(size[p])], names=["key", "salt", "node", "size"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by key, salt and node, that meet another node; the last row waits to see whether the next has its key."""
+    held, held_met = None, False
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in ("key", "salt", "node", "size")]
+        if held is not None:
+            columns = [np.append(h, c) for h, c in zip(held, columns, strict=True)]
+        if not len(columns[0]):
+            continue
+        key, salt, node, _ = columns
+        same = np.append(False, (key[1:] == key[:-1]) & (salt[1:] == salt[:-1]))
+        fresh = ~(same & np.append(False, node[1:] == node[:-1]))
+        columns = [c[fresh] for c in columns]
+        same = same[fresh]
+        met = same | np.append(same[1:], False) | (columns[1] > 0)
+        met[0] |= held_met
+        held, held_met = [c[-1:] for c in columns], bool(met[-1])
+        met[-1] = False
+        yield pa.RecordBatch.from_arrays([pa.array(c[met]) for c in columns], names=["key", "salt", "node", "size"])
+    if held_met:
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names=["key", "salt", "node", "size"])
+
+
 def _meetings(sets: DataFrame) -> DataFrame:
-    """key, node, size of every key that two different nodes have.
+    """key, node, size of every key that two different nodes have. Of the rows of one node, each task sends one."""
+    rows = sets.where("node is not null and doc_id is not null").select("node", "n_shingles", "keys").mapInArrow(_dealt, KEYED)
+    rows = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
+    return rows.mapInArrow(_met, KEYED).select("key", "node", "size")
 
-    Equal sets go first, per node, so a group of copies is one row; then one shuffle deals the keys out, a task sorts its
-    own and passes over them once, holding one key's first row. Nothing is gathered per key.
-    """
-    unique = sets.where("node is not null").dropDuplicates(["node", "n_shingles"])
-    rows = unique.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("size")).repartition("key").sortWithinPartitions("key", "node")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_met = None, False  # the last row waits to see whether the next has its key
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column("key").to_numpy()
-            again = key[1:] == key[:-1]
-            first = held is not None and held.column("key")[0].as_py() == key[0]
-            if held is not None and (held_met or first):
-                yield held
-            met = np.append(first, again) | np.append(again, False)
-            held, held_met = batch.slice(batch.num_rows - 1), bool(met[-1])
-            met[-1] = False
-            yield batch.filter(pa.array(met))
-        if held_met:
-            yield held
-
-    return rows.mapInArrow(run, rows.schema)
-
-
-def _overlaps(pairs: DataFrame, segments: DataFrame, likeness: Fraction) -> DataFrame:
-    """The pairs with `common`, their overlap counted per fragment and summed; `apart`, in how many n-grams they differ; and
-    `first`, the first of those in a fixed order: what only a has, then what only b has, each in the global order. As many
-    are kept as two sets near a can differ in, and one more."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("x", "y")).cast("long").alias("common"), F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"))
-    most = F.expr(f"({_differing('size_a', f'((size_a * {likeness.denominator}) div {likeness.numerator})', likeness)}) + 1")
-    cut = lambda c: F.slice(F.flatten(F.transform(F.array_sort("parts"), lambda x: x[c])), 1, most.cast("int"))
-    summed = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("common").alias("common"), F.collect_list(F.struct("fragment", F.slice("more", 1, most.cast("int")).alias("more"), F.slice("less", 1, most.cast("int")).alias("less"))).alias("parts"))  # a row per fragment
-    return summed.select("a", "b", "size_a", "size_b", "common", (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("apart"), F.slice(F.concat(cut("more"), cut("less")), 1, most.cast("int")).alias("first"))
+def _stars(met: DataFrame) -> DataFrame:
+    """a, size_a, b, size_b: every member of a meeting with its hub, the one of them that has the most meetings."""
+    weight = met.groupBy("node").agg(F.count("*").alias("weight"))
+    best = met.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("top"))
+    pairs = met.join(best, "key").where("node <> top.node")
+    return pairs.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("top.node").alias("b"), F.col("top.size").alias("size_b")).distinct()
 
 
-def _differing(a: str, b: str, likeness: Fraction) -> str:
-    """The SQL form of differing()."""
-    p, q = likeness.numerator, likeness.denominator
-    return f"(({a} + {b}) * {q - p}) div {q + p}"
+PARTS = "b long, fragment int, salt int, member int, node long, size long, grams array<long>"
 
 
-def _segments(docs: DataFrame, nodes: DataFrame, n: int, fragments: int) -> DataFrame:
-    """node, fragment, grams of the documents in nodes (doc_id, node), which holds one document for each node."""
-    rows = docs.join(small(nodes, 40), "doc_id").select("text", "node")
+def _parts(docs: DataFrame, sets: DataFrame, stars: DataFrame, n: int, fragments: int) -> DataFrame:
+    """The n-grams of every node of stars in each fragment, once for each of its hubs; a hub's own for each salt of its members."""
+    salts = stars.groupBy("b").agg((1 + F.floor(F.count("*") / MEMBERS)).cast("int").alias("salts"))
+    roles = stars.join(salts, "b").select(F.col("a").alias("node"), "b", "salts").unionByName(salts.select(F.col("b").alias("node"), "b", "salts"))
+    hubs = roles.groupBy("node").agg(F.collect_list(F.struct("b", "salts")).alias("hubs"))  # at most one per key of the node
+    stand = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(hubs, "node")
+    rows = docs.join(small(stand, 64), "doc_id").select("text", "node", "hubs")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def emitted(batch: pa.RecordBatch) -> Iterator[tuple]:
         grams, at = shingle_sets(batch.column("text"), n)
-        node, lists = [], []
-        for i, x in enumerate(batch.column("node").to_pylist()):
-            if at[i] == at[i + 1] or node_of(grams[at[i] : at[i + 1]]) != x:  # another text under the same id
+        for i, (node, own_hubs) in enumerate(zip(batch.column("node").to_pylist(), batch.column("hubs").to_pylist(), strict=True)):
+            own = grams[at[i] : at[i + 1]]
+            if not len(own) or node_of(own) != node:  # another text under the same id
                 continue
-            edge = np.searchsorted(grams[at[i] : at[i + 1]] >> U64(32), (np.arange(1, fragments + 1, dtype=U64) << U64(32)) // U64(fragments))
-            lists += [grams[lo:hi].view(np.int64) for lo, hi in zip(at[i] + np.append(0, edge[:-1]), at[i] + edge, strict=True)]
-            node += [x] * fragments
-        return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(list(range(fragments)) * (len(node) // fragments), pa.int32()), pa.array(lists, pa.list_(pa.int64()))], names=["node", "fragment", "grams"])
+            edge = np.searchsorted(own >> U64(32), (np.arange(1, fragments + 1, dtype=U64) << U64(32)) // U64(fragments))
+            edge[-1] = len(own)
+            lists = [own[lo:hi].view(np.int64) for lo, hi in zip(np.append(0, edge[:-1]), edge, strict=True)]
+            for hub in own_hubs:
+                member = hub["b"] != node
+                for salt in [node % hub["salts"]] if member else range(hub["salts"]):
+                    yield from ((hub["b"], k, salt, int(member), node, len(own), part) for k, part in enumerate(lists))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            for some in batched(emitted(piece), 1024):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), PART_KINDS, strict=True)], names=PART_NAMES)
+
+    return rows.mapInArrow(run, PARTS)
+
+
+PART_NAMES = [c.split()[0] for c in PARTS.split(", ")]
+PART_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+PARTIAL = "a long, b long, size_a long, size_b long, fragment int, common long, apart array<long>"
+
 
-    return map_texts(rows, run, "node long, fragment int, grams array<long>").dropDuplicates(["node", "fragment"])
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member's part against its hub's, which comes before it: how many n-grams are common, and which are not."""
+    at, hub, hub_size, last = None, None, 0, None
+    for batch in batches:
+        b, fragment, salt, member, node, size = (batch.column(c).to_numpy() for c in PART_NAMES[:-1])
+        lists = batch.column("grams")
+        offsets, grams = lists.offsets.to_numpy(), lists.values.to_numpy().view(U64)
+        found = []
+        for i in range(batch.num_rows):
+            place, own = (b[i], fragment[i], salt[i]), grams[offsets[i] : offsets[i + 1]]
+            if not member[i]:
+                at, hub, hub_size, last = place, own.copy(), size[i], None
+            elif at == place and last != node[i]:  # a row of one id and text may come twice
+                last = node[i]
+                where = np.searchsorted(hub, own)
+                hit = (where < len(hub)) & (np.append(hub, U64(0))[where] == own)
+                alone = np.ones(len(hub), bool)
+                alone[where[hit]] = False
+                found.append((node[i], b[i], size[i], hub_size, fragment[i], int(hit.sum()), np.concatenate([own[~hit], hub[alone]]).view(np.int64)))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), PARTIAL_KINDS, strict=True)], names=PARTIAL_NAMES)
+
+
+PARTIAL_NAMES = [c.split()[0] for c in PARTIAL.split(", ")]
+PARTIAL_KINDS = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.list_(pa.int64())]
+
+
+def _differing(a: str, b: str, likeness: Fraction) -> str:
+    """The SQL form of differing()."""
+    p, q = likeness.numerator, likeness.denominator
+    return f"(({a} + {b}) * {q - p}) div {q + p}"
 
 
 def _linked(likeness: Fraction):
@@ -206,16 +307,93 @@ def _linked(likeness: Fraction):
     return F.expr(f"apart <= {_differing('size_a', 'size_b', likeness)}")
 
 
-def _within(stars: DataFrame, group: DataFrame, likeness: Fraction) -> DataFrame:
-    """Pairs of different groups that may reach the likeness, among the members a of the same b; see components()."""
-    rows = stars.join(group.select(F.col("node").alias("a"), "group"), "a", "left").withColumn("group", F.coalesce("group", "a"))
-    open_ = rows.groupBy("b").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("b")
-    rows = rows.join(open_, "b").select("b", F.posexplode("first").alias("place", "gram"), F.col("a").alias("node"), F.col("size_a").alias("size"), "apart", "group")
-    x, y = (rows.select("b", "gram", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "place", "apart", "group")]) for side in "xy")
-    # The first n-gram that two members differ from b in alike leaves room for no more than this many after it.
-    room = "1 + least(apart_x - place_x, apart_y - place_y) - 1"
-    near = f"apart_x + apart_y - 2 * ({room}) <= {_differing('size_x', 'size_y', likeness)}"
-    return x.join(y, ["b", "gram"]).where("node_x < node_y and group_x <> group_y").where(near).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"), F.col("size_x").alias("size_a"), F.col("size_y").alias("size_b")).distinct()
+def _candidates(partial: DataFrame, pairs: DataFrame, group: DataFrame, likeness: Fraction, tables: Tables) -> DataFrame:
+    """hub, a, b, their sizes and apart of members of a hub in different groups that may reach the likeness.
+
+    partial has the n-grams in which a member differs from its hub; pairs its size and how many they are.
+    """
+    group = group.join(group.groupBy("group").agg(F.count("*").alias("nodes")), "group")
+    members = pairs.select("b", F.col("a").alias("node"), F.col("size_a").alias("size"), "size_b", "apart").join(group, "node", "left").withColumns({"group": F.coalesce("group", "node"), "nodes": F.coalesce("nodes", F.lit(1))})
+    # Sets that link differ by so much at most in size, and in how far they are from the hub: all meetings of a hub are in two size classes.
+    width = F.expr(f"1 + cast(size_b * {2 * float((1 - likeness) / (1 + likeness) / likeness ** (2 * SPAN + 1))} as long)")
+    members = members.withColumns({"cell": F.floor(F.col("size") / width), "ring": F.floor(F.col("apart") / width)})
+    near = lambda c: F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)).alias(c)
+    around = members.groupBy("b", "cell", "ring").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    around = around.select("b", near("cell"), "ring", "low", "high").select("b", "cell", near("ring"), "low", "high")
+    open_ = around.groupBy("b", "cell", "ring").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("b", "cell", "ring")
+    members = small(tables.store(members.join(open_, ["b", "cell", "ring"]).select("b", "node", "size", "apart", "group", "nodes"), "open"), 64)
+    grams = partial.select("b", F.col("a").alias("node"), F.explode("apart").alias("gram")).join(members, ["b", "node"])
+    shared = grams.groupBy("b", "gram").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high"), F.max_by("group", F.struct("nodes", "group")).alias("top")).where("n > 1")
+    ranked = grams.join(shared, ["b", "gram"]).groupBy("b", "node", "size", "apart", "group").agg(F.sort_array(F.collect_list(F.struct("n", "gram", F.expr("low < high").alias("mixed"), "top"))).alias("grams"))  # a set's own at most
+    rows = ranked.mapInArrow(lambda batches: _prefixes(batches, likeness), PREFIX)
+    x, y = (rows.select("b", "gram", "key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "place", "apart", "group", "lead", "top")]) for side in "xy")
+    # Of the pairs in one gram those within its largest group, which are of no use, aren't made.
+    met = x.where("lead_x and not top_x").join(y, ["b", "gram", "key"]).unionByName(x.where("lead_x and top_x").join(y.where("not top_y"), ["b", "gram", "key"]))
+    # If this is the first n-gram of the order that both have, so many of them at most are common.
+    room = "least(apart_x - place_x, apart_y - place_y)"
+    met = met.where("group_x <> group_y").where(f"apart_x + apart_y - 2 * {room} <= {_differing('size_x', 'size_y', likeness)}")
+    side = lambda c: F.struct(F.col(f"node_{c}").alias("node"), F.col(f"size_{c}").alias("size"), F.col(f"apart_{c}").alias("apart"))
+    met = met.select(F.col("b").alias("hub"), F.least(side("x"), side("y")).alias("x"), F.greatest(side("x"), side("y")).alias("y"))
+    met = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b")).agg(F.min(F.struct("hub", F.col("x.apart").alias("x"), F.col("y.apart").alias("y"))).alias("by"))
+    return met.select("a", "b", "size_a", "size_b", "by.hub", "by.x", "by.y")
+
+
+PREFIX = "b long, gram long, key long, node long, size long, place long, apart long, group long, lead boolean, top boolean"
+PREFIX_NAMES = [c.split()[0] for c in PREFIX.split(", ")]
+PREFIX_KINDS = [pa.int64()] * 8 + [pa.bool_()] * 2
+#: An n-gram that more members differ from their hub in is common; so far below the bound, two of them must agree in more to meet.
+COMMON, LEVELS = 4, 3
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], likeness: Fraction) -> Iterator[pa.RecordBatch]:
+    """The first n-grams of each member's D, those of one member alone counted but left out.
+
+    Two members in reach have one of their prefixes in common. Say the first is at places p and q of the two. The p and q
+    n-grams before it aren't common, so of those after it at most e = d - p - q differ. For a rare n-gram every member
+    leads, that is, meets all others. For a common one, members with d/2 - p above LEVELS lead. Two other members meet
+    where what comes after it agrees in a fragment: with 2 * level + 1 fragments, level the greater of d/2 - p and d/2 - q,
+    one fragment has none of the e differences at least. They emit keys for all levels that a partner may have.
+    """
+    p, q = likeness.numerator, likeness.denominator
+    for batch in batches:
+        found = []
+        for b, node, size, apart, group, grams in zip(*(batch.column(c).to_pylist() for c in ("b", "node", "size", "apart", "group", "grams")), strict=True):
+            most, half = differing(size, size * q // p, likeness), -(-size * (q - p) // (q + p))
+            hashes = np.array([g["gram"] for g in grams], np.int64).view(U64)
+            for i, g in enumerate(grams):
+                place = apart - len(grams) + i
+                if place > most:
+                    break
+                if not g["mixed"]:
+                    continue
+                late = g["n"] > COMMON and half - place <= LEVELS
+                fixed = (node, size, place, apart, group)
+                found.append((b, g["gram"], 0, *fixed, not late, group == g["top"]))
+                if late:
+                    after = hashes[i + 1 :]
+                    for level in range(abs(half - place), LEVELS + 1):
+                        found += [(b, g["gram"], key, *fixed, True, group == g["top"]) for key in _suffix_keys(after, level)]
+            if len(found) > 1 << 14:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), PREFIX_KINDS, strict=True)], names=PREFIX_NAMES)
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), PREFIX_KINDS, strict=True)], names=PREFIX_NAMES)
+
+
+def _suffix_keys(grams: np.ndarray, level: int) -> list[int]:
+    fragments = 2 * level + 1
+    content = np.zeros(fragments, U64)
+    np.add.at(content, ((grams >> U64(32)) * U64(fragments) >> U64(32)).astype(np.int64), mix(grams))
+    return mix(content ^ mix(np.arange(fragments, dtype=U64) + U64(level + 1 << 32))).view(np.int64).tolist()
+
+
+def _apart(candidates: DataFrame, partial: DataFrame) -> DataFrame:
+    """The candidates with `apart`, in how many n-grams they differ: what they differ from their hub in alike is counted in
+    each fragment and summed up per pair."""
+    x, y = (partial.select(F.col("b").alias("hub"), F.col("a").alias(node), "fragment", F.col("apart").alias(side)) for node, side in (("a", "in_x"), ("b", "in_y")))
+    both = candidates.join(x, ["hub", "a"]).join(y, ["hub", "b", "fragment"])  # partial has the rows of candidates only
+    summed = both.groupBy("a", "b", "size_a", "size_b", "x", "y").agg(F.sum(F.size(F.array_intersect("in_x", "in_y"))).alias("alike"))
+    return summed.withColumn("apart", F.col("x") + F.col("y") - 2 * F.col("alike"))
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, likeness: Fraction = LIKENESS, fragments: int = FRAGMENTS) -> DataFrame:
@@ -223,34 +401,42 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
 
     Two rows link when the Jaccard likeness of their sets is at least `likeness`; the test is in whole numbers. Null, empty
     and wordless texts have empty sets and link with nothing. Repeated rows have equal sets, so they link. A row
-    with a null id links with equal sets only, is passed over when the smallest is sought, and alone has a null component. N-grams and sets are told
-    apart by 64-bit hashes. One row out per row in.
+    with a null id links with equal sets only, is passed over when the smallest is sought, and alone has a null component.
+    Rows of one id and different texts are each linked by their own text. One row out per row in, none of an empty table.
     """
-    docs = texts_of(df, id_col, text_col)
-    sets = stored(describe(docs, n, likeness), "sets")
-    met = stored(_meetings(sets), "meetings")
-    # One document stands for each node that meets another.
-    stand = stored(sets.select("doc_id", "node").where("doc_id is not null").join(met.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "stand-ins")
-    segments = stored(_segments(docs, stand, n, fragments), "segments")
-    met = met.join(stand.select("node"), "node")
-    popular = met.groupBy("key").agg(F.count("*").alias("n")).join(met, "key").groupBy("node").agg(F.sum("n").alias("weight"))
-    met = stored(met.join(popular, "node"), "members")
-
-    # Every member of a meeting is compared with one of them, the one with the most company over all its keys.
-    best = met.groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("top"))
-    pairs = met.join(best, "key").where("node <> top.node").select(F.col("node").alias("a"), F.col("top.node").alias("b"), F.col("size").alias("size_a"), F.col("top.size").alias("size_b")).distinct()
-    stars = stored(_overlaps(pairs, segments, likeness), "stars")
-    links = stored(stars.where(_linked(likeness)).select("a", "b"), "links")
-    group = connected(links).withColumnRenamed("component", "group")
-    # Then the members of each with each other, where they are in different groups still.
-    pairs = stored(_within(stars, group, likeness), "pairs")
-    more = stored(_overlaps(pairs, segments, likeness).where(_linked(likeness)).select("a", "b"), "links")
+    docs, tables = texts_of(df, id_col, text_col), Tables(df.sparkSession)
+    described = tables.store(describe(docs, n, likeness), "described")
+    met = tables.store(_meetings(described), "meetings")
+    sets = tables.store(described.select("doc_id", "n_shingles", "node"), "sets")
+    tables.drop("described")
+    stars = tables.store(_stars(met), "stars")
+    tables.drop("meetings")
+    parts = _parts(docs, sets, stars, n, fragments).repartition("b", "fragment", "salt").sortWithinPartitions("b", "fragment", "salt", "member", "node")
+    partial = tables.store(parts.mapInArrow(_compared, PARTIAL), "partial")
+    pairs = tables.store(partial.groupBy("a", "b", "size_a", "size_b").agg((F.col("size_a") + F.col("size_b") - 2 * F.sum("common")).alias("apart")), "pairs")
+    group = connected(pairs.where(_linked(likeness)).select("a", "b")).withColumnRenamed("component", "group")
+    # Then the members of each hub with each other, where they are in different groups still.
+    candidates = tables.store(_candidates(partial, pairs, group, likeness, tables), "candidates")
+    wanted = candidates.select(F.col("hub").alias("b"), F.explode(F.array("a", "b")).alias("a")).distinct()
+    more = tables.store(_apart(small(candidates, 64), partial.join(small(wanted, 16), ["b", "a"], "left_semi")).where(_linked(likeness)).select("a", "b"), "links")
+    tables.drop("stars", "partial", "pairs", "open", "candidates")
     if not more.isEmpty():
-        group = connected(links.unionByName(more)).withColumnRenamed("component", "group")
-    # Each node's smallest id, then each group's; the node stands for itself where it has no links.
-    nodes = sets.where("node is not null").groupBy("node", "n_shingles").agg(F.min("doc_id").alias("least"))
+        group = connected(group.select(F.col("node").alias("a"), F.col("group").alias("b")).unionByName(more)).withColumnRenamed("component", "group")
+    # Each node's smallest id, then each group's. A row of its own text that links with none needs no look-up.
+    nodes = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     linked = nodes.join(group, "node")
-    least = linked.groupBy("group").agg(F.min("least").alias("low"))
-    nodes = nodes.join(linked.join(least, "group").select("node", "low"), "node", "left").select("node", "n_shingles", F.coalesce("low", "least").alias("least"))
-    out = sets.select("doc_id", "n_shingles", "node").join(nodes, ["node", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    low = linked.groupBy("group").agg(F.min("least").alias("low"))
+    found = nodes.join(linked.join(low, "group").select("node", "low"), "node", "left").where("n > 1 or low is not null")
+    found = tables.store(found.select("node", "n", F.coalesce("low", "least").alias("component_id")), "found")
+    return _with_component(sets, found)
+
+
+def _with_component(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Each row's component. Nodes with very many rows are few, and their rows stay where they are."""
+    total = sets.count()
+    heavy = F.broadcast(found.where(F.col("n") * HEAVY >= total).select("node", "component_id"))  # at most HEAVY rows
+    light = small(found.where(F.col("n") * HEAVY < total).select("node", "component_id"), 24)
+    some = sets.where("node is not null")
+    rows = some.join(heavy, "node").unionByName(some.join(heavy, "node", "left_anti").join(light, "node", "left"))
+    rows = rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.unionByName(sets.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, U64, map_texts, release, row_type, run_hashes, runs, share_of, slices, stored, texts_of, utf8, with_row
+from .common import LOWER, SPACE, U64, keep_rows, map_texts, run_hashes, runs, share_of, slices, stored, texts_of, utf8
 
 BITS, SIZE, WINDOW = 14, 48, 2
 #: About so many labelled documents at most are learned from, and a part of them only for calibration.
@@ -59,9 +59,8 @@ def word_vectors(rows: DataFrame) -> np.ndarray:
     """A unit vector per bucket, from the texts of rows. Tasks sum up what they read; what meets has a fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         index, total = index_vectors(), np.zeros((1 << BITS, SIZE), np.int64)
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches):
             bucket, row = tokens(*utf8(batch.column("text")))
             for gap in range(1, WINDOW + 1):
                 near = row[gap:] == row[:-gap]
@@ -184,16 +183,25 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
     return Model(vectors, mean, scale, first, second, temperature, 1e-6)
 
 
-def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
+def _probability(model: Model | None, texts: pa.Array) -> np.ndarray:
+    return model.score(pooled(texts, model.vectors)) if model else np.full(len(texts), 0.5)
+
+
+def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted (1 if score >= threshold) of each whole text; null text counts as empty.
 
-    Without a model every score is 0.5. One row out per row in. whole: with all of the row, as `row`.
+    Without a model every score is 0.5. One row out per row in, also for repeated rows; equal texts have equal scores.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = held.value
-        p = m.score(pooled(batch.column("text"), m.vectors)) if m else np.full(batch.num_rows, 0.5)
-        return with_row(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]), batch)
+        p = _probability(held.value, batch.column("text"))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
+
+    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, score double, predicted int")
 
-    return map_texts(texts_of(df, id_col, text_col, whole), run, "doc_id long, score double, predicted int" + row_type(df, whole))
+
+def keep(df: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of df that score() predicts 1 for, with all their columns."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(df, text_col, lambda texts: _probability(held.value, texts) >= threshold)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, release, slices, texts_of
+from .common import map_texts, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "guess")
 # The base patterns and their least lengths.
@@ -193,7 +193,6 @@ def redact(df: DataFrame, text_col: str = "text", strong: float = STRONG, words:
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         ranks = dictionary(words)
         for batch in slices(batches, text_col):
             new = [None if t is None else mask(t, find(t, ranks, strong)) for t in batch.column(at).to_pylist()]
@@ -205,6 +204,8 @@ def redact(df: DataFrame, text_col: str = "text", strong: float = STRONG, words:
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """Documents with masked texts; n_chars follows where a text changed."""
+    """Documents with masked texts; n_chars, if there is such a column, follows where a text changed."""
     out = redact(docs)
+    if "n_chars" not in docs.columns:
+        return out
     return out.withColumn("n_chars", F.when(F.col("text").contains(MASK), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
