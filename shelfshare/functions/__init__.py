@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,25 @@ def share_of_total(value: Column, *keys: str) -> Column:
     return F.coalesce(F.try_divide(value, total), F.lit(0.0))
 
 
+def with_share(df: DataFrame, names: dict[str, str], keys: list[str], scale: float = 1.0) -> DataFrame:
+    """df with scale times each column's share of its total per key, under a name; for keys that a large part of the rows may
+    share: totals are summed up per task before they meet, and rows aren't gathered by key. 0 where the total is 0."""
+    totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"all_{n}") for n, c in names.items()])
+    shared = df.join(totals, keys)
+    return shared.withColumns({n: scale * F.coalesce(F.try_divide(F.col(c), F.col(f"all_{n}")), F.lit(0.0)) for n, c in names.items()}).drop(*[f"all_{n}" for n in names])
+
+
+def suffixed(df: DataFrame, keys: list[str], suffix: str = "", prefix: str = "") -> DataFrame:
+    """All columns but the keys with a prefix and a suffix."""
+    return df.withColumnsRenamed({c: f"{prefix}{c}{suffix}" for c in df.columns if c not in keys})
+
+
+def in_order(column: str, names: list[str]) -> Column:
+    """A sort key: the place of a value in a list, others after it."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col(column))
+    return F.when(place > 0, place).otherwise(len(names) + 1)
+
+
 def need_group(column: str, suffix: str | None = None) -> Column:
     """The need group: a column, or it and the first three characters of another; a null group is SEM_GN."""
     name = F.col(column)

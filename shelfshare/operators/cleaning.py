@@ -12,9 +12,10 @@ def atypical_months(df: DataFrame, value: str = "qty", group: str = "grp", month
     The lower bound is at least 0. A group of one month has no deviation and no atypical month.
     """
     monthly = df.groupBy(group, month).agg(F.sum(value).alias("total"), F.count("*").alias("n_rows"))
-    stats = monthly.groupBy(group).agg(F.avg("total").alias("mean"), F.stddev_samp("total").alias("deviation"))
+    months = Window.partitionBy(group)  # a row per month
+    monthly = monthly.withColumns({"mean": F.avg("total").over(months), "deviation": F.stddev_samp("total").over(months)})
     low, high = F.greatest(F.col("mean") - sigmas * F.col("deviation"), F.lit(0.0)), F.col("mean") + sigmas * F.col("deviation")
-    return monthly.join(stats, group).where(F.col("deviation").isNotNull() & ((F.col("total") < low) | (F.col("total") > high)))
+    return monthly.where(F.col("deviation").isNotNull() & ((F.col("total") < low) | (F.col("total") > high)))
 
 
 def filter_atypical_months(df: DataFrame, months: DataFrame, keep_month: int, group: str = "grp", month: str = "year_month") -> DataFrame:

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import store_code
+from . import cleaning
+from .lineage import running_total
 
 
 def transfer_to_dc(df: DataFrame, valid: DataFrame, target: int) -> DataFrame:
-    """Shares of centres that aren't valid go to the target centre per sku and group; their own rows stay with 0. The total stays."""
-    flagged = df.join(valid.select(F.col("store"), F.lit(True).alias("ok_")), "store", "left").withColumn("ok_", F.coalesce("ok_", ~F.col("is_dc")))
+    """Shares of centres that aren't valid go to the target centre per sku and group; their own rows stay with 0. The total
+    stays, also if a centre is listed more than once."""
+    flagged = df.join(valid.select("store").distinct().withColumn("ok_", F.lit(True)), "store", "left").withColumn("ok_", F.coalesce("ok_", ~F.col("is_dc")))
     moved = flagged.withColumn("store", F.when(F.col("ok_"), F.col("store")).otherwise(target))
     summed = moved.groupBy("sku", "grp", "store").agg(F.sum("share").alias("share"))
     zeros = flagged.where(~F.col("ok_")).select("sku", "grp", "store", F.lit(0.0).alias("share")).distinct()
@@ -53,12 +56,32 @@ def final_export(df: DataFrame, end_date: int) -> DataFrame:
 def file_numbers(df: DataFrame, key: str, most: int) -> DataFrame:
     """`file_no`: all rows of a key in one file, which is closed once the rows so far reach `most`.
 
-    The running count runs over one row per key, not over the rows.
+    The running count runs over one row per key, not over the rows, and range by range.
     """
-    per_key = df.groupBy(key).agg(F.count("*").alias("rows_"))
-    so_far = F.sum("rows_").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
-    numbered = per_key.select(key, F.floor(F.coalesce(so_far, F.lit(0)) / most).cast("int").alias("file_no"))
-    return df.join(numbered, key)
+    per_key = running_total(df.groupBy(key).agg(F.count("*").alias("rows_")), [F.asc(key)], F.col("rows_"), "upto_")
+    return df.join(per_key.select(key, F.floor((F.col("upto_") - F.col("rows_")) / most).cast("int").alias("file_no")), key)
+
+
+def removed_rows(df: DataFrame) -> DataFrame:
+    """Per store that isn't eligible: rows, skus and the share that goes with them."""
+    return df.where(~F.col("eligible")).groupBy("store").agg(F.count("*").alias("n_rows"), F.count_distinct("sku").alias("skus"), F.sum("share").alias("share"))
+
+
+def removed_top(df: DataFrame, most: int = 10) -> DataFrame:
+    """The skus that lose the largest share with the rows that aren't eligible, ties by sku."""
+    return df.where(~F.col("eligible")).groupBy("sku").agg(F.sum("share").alias("share")).orderBy(F.desc("share"), "sku").limit(most)
+
+
+def export_chain(df: DataFrame, channel: str, groups: list[str] | None = None, drop_groups: bool = False, kinds: list[str] | None = None, not_brands: list[str] | None = None, merged: tuple[int, int] | None = None, valid: DataFrame | None = None, target: int = 14) -> DataFrame:
+    """The exportable matrix of one channel from sku, grp, store, kind, brand, is_dc, share: products and groups filtered, one
+    store counted with another, shares of centres that aren't valid given to the target, the mean per sku and store in percent."""
+    out = cleaning.filter_products(df, kinds, not_brands, groups, drop_groups)
+    if merged:
+        out = out.withColumn("store", F.when(F.col("store") == merged[0], merged[1]).otherwise(F.col("store")))
+        out = out.groupBy("sku", "grp", "store").agg(F.sum("share").alias("share"), F.max("is_dc").alias("is_dc"))
+    if valid is not None:
+        out = transfer_to_dc(out, valid, target)
+    return channel_matrix(out, channel)
 
 
 def integrity_report(df: DataFrame, tolerance: float = 1e-4) -> DataFrame:
@@ -84,6 +107,13 @@ def channel_difference(df: DataFrame) -> DataFrame:
     return df.agg(*side("OFFLINE", "off"), *side("ONLINE", "on")).crossJoin(overlap).withColumn("row_ratio", F.try_divide("rows_on", "rows_off"))
 
 
+def files_report(df: DataFrame) -> DataFrame:
+    """Per file the skus that have fewer than two rows or not both channels in it: rule, file_no, sku, value."""
+    per = df.groupBy("file_no", "sku").agg(F.count("*").alias("n"), F.count_distinct("channel").alias("channels"))
+    rule = lambda frame, name, value: frame.select(F.lit(name).alias("rule"), "file_no", "sku", value.cast("double").alias("value"))
+    return rule(per.where("n < 2"), "rows", F.col("n")).unionByName(rule(per.where("channels < 2"), "channels", F.col("channels")))
+
+
 def validation_sheet(df: DataFrame) -> DataFrame:
     """Both channels side by side per group and store, null as 0."""
     part = lambda c, n: df.where(F.col("channel") == c).groupBy("grp", "store").agg(F.sum("share").alias(n))

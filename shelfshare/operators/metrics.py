@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import delta_bucket, mean_if, quality_class, share_of_total, smape, wmape, wmean_if
+from ..functions import delta_bucket, mean_if, quality_class, share_of_total, smape, wmape, with_share, wmean_if
 
 
 def allocation_metrics(df: DataFrame, y: str, yhat: str, groups: list[str], eps: float = 1e-12) -> DataFrame:
     """Per group: wMAPE, sMAPE as a ratio of sums, MAE weighted by y, share errors in points, cross entropy and divergence."""
-    p, q = share_of_total(F.col(y), *groups), share_of_total(F.col(yhat), *groups)
-    error = F.abs(F.col(y) - F.col(yhat))
-    rows = df.withColumns({"p_": p, "q_": q, "e_": error})
+    rows = with_share(df, {"p_": y, "q_": yhat}, groups).withColumn("e_", F.abs(F.col(y) - F.col(yhat)))
     return rows.groupBy(*groups).agg(
         (100 * F.try_divide(F.sum("e_"), F.sum(F.abs(F.col(y))))).alias("wmape"),
         (200 * F.try_divide(F.sum("e_"), F.sum(F.abs(F.col(y)) + F.abs(F.col(yhat))))).alias("smape"),
@@ -109,6 +107,13 @@ def error_per(df: DataFrame, keys: list[str], pred: str, real: str) -> DataFrame
     return sums.withColumns({"error_pct": 100 * (F.col("pred") - F.col("real")) / base, "abs_error_pct": 100 * F.abs(F.col("pred") - F.col("real")) / base})
 
 
+def level_wsmape(df: DataFrame, level: str, models: list[str], real: str, weight: str) -> DataFrame:
+    """model, wsmape: the sMAPE of mean shares per value of a level, weighted by the demand there; a row per model."""
+    per = df.groupBy(level).agg(F.avg(real).alias("real_"), F.sum(weight).alias("weight_"), *[F.avg(m).alias(m) for m in models])
+    long = per.select("real_", "weight_", F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("pred")) for m in models])))
+    return long.groupBy("model").agg(F.try_divide(F.sum(smape(F.col("pred"), F.col("real_")) * F.col("weight_")), F.sum("weight_")).alias("wsmape"))
+
+
 def level_smape(df: DataFrame, level: str, pred: str, real: str, weight: str) -> DataFrame:
     """Mean shares, demand and sMAPE per value of a level."""
     out = df.groupBy(level).agg(F.avg(pred).alias("mean_pred"), F.avg(real).alias("mean_real"), F.sum(weight).alias("demand"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,15 @@ def batches(start_month: int, end_month: int, size: int = 3) -> list[tuple[int,
     return [(name(m), name(min(m + size - 1, last))) for m in range(first, last + 1, size)]
 
 
+def backfill(sales: DataFrame, first_month: int, last_month: int, write: Callable[[DataFrame], None], size: int = 3, days: int = 90) -> list[tuple[int, int]]:
+    """Computes the panel batch after batch of whole months and hands each to write, which replaces those months; a batch
+    that is done again gives the same. Each batch reads its own days and those its means look back on."""
+    done = batches(first_month, last_month, size)
+    for first, last in done:
+        write(period_panel(sales, first, last, days))
+    return done
+
+
 def period_panel(sales: DataFrame, first_month: int, last_month: int, days: int = 90) -> DataFrame:
     """The panel of whole months, with means that look back over the days before them; only the months are returned."""
     day = lambda m: f"{m // 100:04d}-{m % 100:02d}-01"

@@ -42,9 +42,16 @@ def before_after(df: DataFrame, keys: list[str], value: str, how: str = "sum") -
     return df.groupBy(*keys).agg(part("baseline"), part("pilot")).withColumn("change", F.col("pilot") - F.col("baseline")).withColumn("change_pct", 100 * F.try_divide("change", "baseline"))
 
 
+def spread_of_medians(df: DataFrame, keys: list[str], value: str = "cover") -> DataFrame:
+    """The median per store, then its deviation over the stores, per key."""
+    per = df.groupBy(*keys, "store").agg(F.median(value).alias("median_"))
+    return per.groupBy(*keys).agg(F.stddev_samp("median_").alias("deviation"), F.count("median_").alias("stores"))
+
+
 def cover_buckets(df: DataFrame, how: str = "median") -> DataFrame:
-    """How many stores have a mean or median cover in each class, per period; classes are columns."""
-    f = F.median if how == "median" else F.avg
+    """How many stores have a mean or median cover in each class, per period; classes are columns. approx: a median that is
+    right to a hundredth of the ranks, in bounded memory."""
+    f = {"median": F.median, "mean": F.avg, "approx": lambda c: F.percentile_approx(c, 0.5, 100)}[how]
     per = df.groupBy("period", "store").agg(f("cover").alias("cover"))
     classes = ["0-15", "15-30", "30-45", "45-60", "60+", "none"]
     return per.withColumn("bucket", stock_days_bucket(F.col("cover"))).groupBy("period").pivot("bucket", classes).agg(F.count(F.lit(1))).fillna(0)

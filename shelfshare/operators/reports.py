@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import share_of_total
+from ..functions import share_of_total, with_share
+from .lineage import running_total
 
 
 def with_total_share(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:
@@ -16,11 +17,10 @@ def with_total_share(df: DataFrame, value: str, name: str = "share_pct") -> Data
 def running_share(df: DataFrame, key: str, value: str, most: float | None = 80.0) -> DataFrame:
     """key, value, share and running share from the largest down, ties by key; only rows up to `most` percent.
 
-    The running sum runs over one row per key.
+    The running sum runs over one row per key, range by range.
     """
     per = with_total_share(df.groupBy(key).agg(F.sum(value).alias(value)), value)
-    w = Window.orderBy(F.desc(value), F.asc(key)).rowsBetween(Window.unboundedPreceding, 0)
-    out = per.withColumn("running_pct", F.sum("share_pct").over(w))
+    out = running_total(per, [F.desc(value), F.asc(key)], F.col("share_pct"), "running_pct")
     return out if most is None else out.where(F.col("running_pct") <= most)
 
 
@@ -49,11 +49,12 @@ def series_stats(df: DataFrame, series: list[str], value: str) -> DataFrame:
     return out.withColumns({f"{'above' if up else 'below'}_{k}": flag(k, up) for k in (1, 2, 3) for up in (True, False)})
 
 
-def month_pivot(df: DataFrame, row: str, months: list[int], value: str) -> DataFrame:
-    """Rows by month: each month's part of its total in percent."""
+def month_pivot(df: DataFrame, row: str, months: list[int] | None, value: str, percent: bool = True) -> DataFrame:
+    """Rows by month: each month's part of its total in percent, or its value. Without a list, the months there are."""
     per = df.groupBy(row, "year_month").agg(F.sum(value).alias("v"))
-    part = per.withColumn("pct", 100 * share_of_total(F.col("v"), "year_month"))
-    return part.groupBy(row).pivot("year_month", months).agg(F.max("pct")).withColumnsRenamed({str(m): f"m{m}" for m in months}).fillna(0.0)
+    part = with_share(per, {"v": "v"}, ["year_month"], 100) if percent else per
+    wide = part.groupBy(row).pivot("year_month", months).agg(F.max("v"))
+    return wide.withColumnsRenamed({c: f"m{c}" for c in wide.columns if c != row}).fillna(0.0)
 
 
 def month_rows(df: DataFrame, row: str, value: str, by: list[str] | None = None) -> DataFrame:
@@ -63,7 +64,7 @@ def month_rows(df: DataFrame, row: str, value: str, by: list[str] | None = None)
     at = df.groupBy(*by).agg(F.collect_set(row).alias("rows_"), F.collect_set("year_month").alias("months_"))  # no more months than the calendar has
     grid = at.select(*by, F.explode("rows_").alias(row), "months_").select(*by, row, F.explode("months_").alias("year_month"))
     dense = grid.join(per, [*by, row, "year_month"], "left").fillna(0.0, [value])
-    return dense.withColumn("pct", 100 * share_of_total(F.col(value), *by, "year_month"))
+    return with_share(dense, {"pct": value}, [*by, "year_month"], 100)
 
 
 def moving_mean(df: DataFrame, keys: list[str], value: str, rows: int = 3) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import share_of_total
+from . import cleaning, demand
 
 
 def newest(df: DataFrame, day: str = "day") -> DataFrame:
@@ -13,10 +14,12 @@ def newest(df: DataFrame, day: str = "day") -> DataFrame:
     return df.join(F.broadcast(df.agg(F.max(day).alias(day))), day, "left_semi")  # one row
 
 
-def dc_map(df: DataFrame, moved: dict[str, str], store: str = "store", dc: str = "dc") -> DataFrame:
-    """store, dc: a store's centre as text (SEM_CD where none), moved by a table; centres moved to 0 are dropped. One row per store."""
+def dc_map(df: DataFrame, moved: dict[str, str], store: str = "store", dc: str = "dc", depot: Column | None = None) -> DataFrame:
+    """store, dc: a store's centre as text (SEM_CD where none), moved by a table; centres moved to 0 are dropped. One row per
+    store. Where depot holds, a store is its own centre."""
     table = F.create_map(*[F.lit(x) for pair in moved.items() for x in pair]) if moved else F.create_map().cast("map<string,string>")
-    text = F.coalesce(F.col(dc).cast("string"), F.lit("SEM_CD"))
+    centre = F.col(dc).cast("string") if depot is None else F.when(depot, F.col(store).cast("string")).otherwise(F.col(dc).cast("string"))
+    text = F.coalesce(centre, F.lit("SEM_CD"))
     out = df.select(F.col(store).alias("store"), text.alias("dc")).withColumn("dc", F.coalesce(F.try_element_at(table, F.col("dc")), F.col("dc")))
     return out.where("dc <> '0'").groupBy("store").agg(F.min("dc").alias("dc"))
 
@@ -44,11 +47,43 @@ def final_share(dc: DataFrame, inner: DataFrame, measures: list[str]) -> DataFra
     return inner.join(dc.select("grp", "dc", "dc_share"), ["grp", "dc"]).select("grp", "dc", "store", *[(F.col("dc_share") * F.col(f"inner_{m}")).alias(f"share_{m}") for m in measures])
 
 
+def layered_share(df: DataFrame, stores: DataFrame, dc_measure: str, measures: list[str]) -> DataFrame:
+    """final_share() of dc_share() and inner_share() in one pass: totals per centre come before totals per group, so nothing
+    is read or computed twice."""
+    own, group = Window.partitionBy("grp", "dc"), Window.partitionBy("grp")
+    per_dc = {f"in_{m}": F.sum(m).over(own) for m in dict.fromkeys([dc_measure, *measures])}
+    out = df.join(stores, "store").select("grp", "dc", "store", *dict.fromkeys([dc_measure, *measures])).withColumns(per_dc)
+    out = out.withColumn("dc_share", F.coalesce(F.try_divide(F.col(f"in_{dc_measure}"), F.sum(dc_measure).over(group)), F.lit(0.0)))
+    inner = lambda m: F.coalesce(F.try_divide(F.col(m), F.col(f"in_{m}")), F.lit(0.0))
+    return out.select("grp", "dc", "store", *[(F.col("dc_share") * inner(m)).alias(f"share_{m}") for m in measures])
+
+
 def skeleton(stores: DataFrame, skus: DataFrame) -> DataFrame:
     """Every store with every eligible sku: the matrix to fill has a row for each by its definition."""
     return stores.select("store").distinct().crossJoin(skus)
 
 
 def fill_matrix(frame: DataFrame, shares: DataFrame, names: list[str], more: list[str] | None = None) -> DataFrame:
-    """The skeleton with the shares of each store and group, 0 where there are none. more: other columns of the skeleton to keep."""
-    return frame.join(shares.select("grp", "store", *names), ["grp", "store"], "left").select(*(more or []), "store", "sku", "grp", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
+    """The skeleton with the shares of each store and group, 0 where there are none; of repeated shares the largest counts, so
+    rows stay as many. more: other columns of the skeleton to keep."""
+    once = shares.groupBy("grp", "store").agg(*[F.max(n).alias(n) for n in names])
+    return frame.join(once, ["grp", "store"], "left").select(*(more or []), "store", "sku", "grp", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
+
+
+def complete_matrix(panel: DataFrame, skus: DataFrame, centres: DataFrame, stores: DataFrame, as_of: str, keep_month: int, twins: DataFrame | None = None, mirror: DataFrame | None = None, special: Column | None = None, outlet: Column | None = None, windows: tuple[int, ...] = (90, 180, 270, 360), dc_window: int = 90) -> DataFrame:
+    """The whole job for one category: from the daily panel (model, store, day, year_month, qty, delta) to a share per store
+    and sku (sku, model) for each window.
+
+    Stores are mirrored, models become need groups by their twins ('-' and none: the model itself), days are summed up per
+    group, atypical months go, series are clipped, demand is freed of stock-outs, its trimmed means are taken and filled up,
+    and both layers of shares are spread over every store and sku. dc_window is the window that centres are weighed by.
+    """
+    named = lambda df: (df.join(twins, "model", "left") if twins is not None else df.withColumn("twin", F.lit(None).cast("string"))).withColumn("grp", F.when(F.coalesce("twin", F.lit("-")) == "-", F.col("model")).otherwise(F.col("twin"))).drop("twin", "model")
+    rows = cleaning.mirror_stores(panel, mirror) if mirror is not None else panel
+    rows = named(rows).groupBy("grp", "store", "day", "year_month").agg(F.sum("qty").alias("qty"), F.sum("delta").alias("delta"))
+    rows = cleaning.filter_atypical_months(rows, cleaning.atypical_months(rows), keep_month)
+    rows = demand.robust_demand(cleaning.winsorise(rows, special=special), outlet=outlet)
+    names = [f"trimmed_{n}" for n in windows]
+    rows = demand.backfill(demand.rolling_trimmed_mean(rows, windows), names).select("grp", "store", "day", *names)
+    found = layered_share(at_date(rows, as_of), centres, f"trimmed_{dc_window}", names)
+    return fill_matrix(skeleton(stores, named(skus)), found, [f"share_{n}" for n in names])

@@ -107,7 +107,7 @@ def inner_share(spark, d):
 
 def final_shares(spark, d, windows=(90,)):
     last, centres, names = b.last_measures(spark, d, windows), b.centre_map(spark, d), [f"trimmed_{n}" for n in windows]
-    return shares.final_share(shares.dc_share(last, centres, "trimmed_90"), shares.inner_share(last, centres, names), names)
+    return shares.layered_share(last, centres, "trimmed_90", names)
 
 
 _FINAL = ", ".join(f"dc_share * inner_trimmed_{n} AS share_trimmed_{n}" for n in b.WINDOWS)
@@ -147,9 +147,10 @@ def need_group_rule(spark, d):
     return b.read(spark, d, "part").select(F.col("p_partkey").alias("sku"), need_group("p_type", "p_name").alias("grp"))
 
 
-@query("SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS id FROM orders")
+@query("SELECT o_orderkey, coalesce(nullif(ltrim(trim(raw), '0'), ''), '0') AS id FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN ' 00' || CAST(o_orderkey AS VARCHAR) || ' ' WHEN o_orderkey % 3 = 1 THEN '0' || CAST(o_orderkey AS VARCHAR) || 'x0' WHEN o_orderkey % 7 = 2 THEN '000' ELSE CAST(o_orderkey AS VARCHAR) END AS raw FROM orders)")
 def normalise_ids(spark, d):
-    raw = b.read(spark, d, "orders").select("o_orderkey", F.concat(F.lit(" 00"), F.col("o_orderkey").cast("string"), F.lit(" ")).alias("raw"))
+    text = "CASE WHEN o_orderkey % 3 = 0 THEN concat(' 00', o_orderkey, ' ') WHEN o_orderkey % 3 = 1 THEN concat('0', o_orderkey, 'x0') WHEN o_orderkey % 7 = 2 THEN '000' ELSE CAST(o_orderkey AS STRING) END"
+    raw = b.read(spark, d, "orders").select("o_orderkey", F.expr(text).alias("raw"))
     return raw.select("o_orderkey", normalised_id("raw").alias("id"))
 
 

@@ -45,9 +45,9 @@ def normalise_to_100(spark, d):
     return _normal(spark, d).select("sku", "store", "channel", "percent")
 
 
-@query(_NORMAL + "--FROM--SELECT CAST(sku AS VARCHAR) AS SKU, channel AS CANAL, '0021_' || lpad(CAST(store AS VARCHAR), 5, '0') AS LOJA, 19991231 AS \"DATA FIM\", round(percent, 3) AS PERCENTUAL FROM normal")
+@query(_NORMAL + "--FROM--SELECT CAST(sku AS VARCHAR) AS SKU, channel AS CANAL, CASE WHEN store % 10 = 0 THEN '0099_' ELSE '0021_' END || lpad(CAST(store AS VARCHAR), 5, '0') AS LOJA, 19991231 AS \"DATA FIM\", round(percent, 3) AS PERCENTUAL FROM normal")
 def final_export(spark, d):
-    return export.final_export(_normal(spark, d).withColumn("is_dc", F.lit(False)), 19991231)
+    return export.final_export(_normal(spark, d).withColumn("is_dc", F.col("store") % 10 == 0), 19991231)
 
 
 @query(_NORMAL + """, sums AS (SELECT sku, channel, sum(percent) AS total, count(*) AS n FROM normal GROUP BY ALL), names AS (SELECT sku, count(DISTINCT channel) AS n, string_agg(DISTINCT channel, ',' ORDER BY channel) AS names FROM normal GROUP BY sku)--FROM--
@@ -86,31 +86,26 @@ def file_numbering(spark, d):
     return export.file_numbers(b.channels(spark, d).select("sku", "store", "channel"), "sku", 5000).select("sku", "store", "channel", "file_no")
 
 
-#: The skus of the queries whose SQL has this condition; the queries named ..._full have all skus.
-_TENTH = "sku % 10 = 1"
-
-
-def _forecast(spark, d, channel=None, skus=None):
+def _forecast(spark, d, channel=None):
     s = b.sales(spark, d).where("year(day) = 1998")
     s = s.where(F.col("channel") == channel) if channel else s
-    s = s.where(skus) if skus else s
     s = s.withColumn("delta", F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")))
     return forecast.daily_forecast(s, b.matrix(spark, d).select("grp", "store", F.col("new").alias("share")), 365)
 
 
-def _forecast_sql(channel=None, name="fc", skus=None):
-    where = (f" AND {skus}" if skus else "") + (f" AND channel = '{channel}'" if channel else "")
+def _forecast_sql(channel=None, name="fc"):
+    where = f" AND channel = '{channel}'" if channel else ""
     return f"""{name}_d AS (SELECT grp, sku, sum(qty + CASE WHEN mandatory = 'S' AND on_hand < qty THEN qty - on_hand ELSE 0.0 END) / (365 - round(365 / 7.0, 1)) AS daily FROM sales WHERE year(day) = 1998{where} GROUP BY grp, sku),
 {name} AS (SELECT d.grp, d.sku, m.store, d.daily, d.daily * round(m.new, 6) AS forecast FROM {name}_d d JOIN matrix m ON m.grp = d.grp)"""
 
 
-def _daily_sql(skus=None):
-    return f"WITH {b.MATRIX}, {_forecast_sql(skus=skus)}--FROM--SELECT grp, sku, store, daily, forecast FROM fc"
+def _daily_sql():
+    return f"WITH {b.MATRIX}, {_forecast_sql()}--FROM--SELECT grp, sku, store, daily, forecast FROM fc"
 
 
-@query(_daily_sql(_TENTH), "daily forecast")
+@query(_daily_sql(), "daily forecast")
 def daily_forecast(spark, d):
-    return _forecast(spark, d, skus=_TENTH)
+    return _forecast(spark, d)
 
 
 @query(_daily_sql(), "daily forecast")
@@ -118,17 +113,17 @@ def daily_forecast_full(spark, d):
     return _forecast(spark, d)
 
 
-def _consolidation_sql(skus=None):
-    return f"""WITH {b.MATRIX}, {_forecast_sql('OFFLINE', 'off', skus)}, {_forecast_sql('ONLINE', 'onl', skus)}, both_ AS (SELECT sku, store, coalesce(o.f, 0.0) AS offline, coalesce(n.f, 0.0) AS online FROM (SELECT sku, store, sum(forecast) AS f FROM off GROUP BY ALL) o FULL OUTER JOIN (SELECT sku, store, sum(forecast) AS f FROM onl GROUP BY ALL) n USING (sku, store))--FROM--
+def _consolidation_sql():
+    return f"""WITH {b.MATRIX}, {_forecast_sql('OFFLINE', 'off')}, {_forecast_sql('ONLINE', 'onl')}, both_ AS (SELECT sku, store, coalesce(o.f, 0.0) AS offline, coalesce(n.f, 0.0) AS online FROM (SELECT sku, store, sum(forecast) AS f FROM off GROUP BY ALL) o FULL OUTER JOIN (SELECT sku, store, sum(forecast) AS f FROM onl GROUP BY ALL) n USING (sku, store))--FROM--
 SELECT sku, store, CAST(sku AS VARCHAR) || '-' || CAST(store AS VARCHAR) AS key, offline, online, offline + online AS total, coalesce(offline / nullif(offline + online, 0), 0.0) AS offline_part, coalesce(online / nullif(offline + online, 0), 0.0) AS online_part FROM both_"""
 
 
 _PARTS = "offline online total offline_part online_part"
 
 
-@query(_consolidation_sql(_TENTH), _PARTS)
+@query(_consolidation_sql(), _PARTS)
 def forecast_consolidation(spark, d):
-    return forecast.consolidate(_forecast(spark, d, "OFFLINE", _TENTH), _forecast(spark, d, "ONLINE", _TENTH))
+    return forecast.consolidate(_forecast(spark, d, "OFFLINE"), _forecast(spark, d, "ONLINE"))
 
 
 @query(_consolidation_sql(), _PARTS)
@@ -136,16 +131,16 @@ def forecast_consolidation_full(spark, d):
     return forecast.consolidate(_forecast(spark, d, "OFFLINE"), _forecast(spark, d, "ONLINE"))
 
 
-def _checks_sql(skus=None):
-    return f"""WITH {b.MATRIX}, {_forecast_sql(skus=skus)}--FROM--SELECT grp, sku, sum(forecast) AS stores_sum, max(daily) AS sku_daily, CAST(sum(CASE WHEN forecast < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negatives, CAST(0 AS BIGINT) AS doubled, 100 * sum(forecast) / nullif(max(daily), 0) AS covered_pct FROM fc GROUP BY grp, sku"""
+def _checks_sql():
+    return f"""WITH {b.MATRIX}, {_forecast_sql()}--FROM--SELECT grp, sku, sum(forecast) AS stores_sum, max(daily) AS sku_daily, CAST(sum(CASE WHEN forecast < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negatives, CAST(0 AS BIGINT) AS doubled, 100 * sum(forecast) / nullif(max(daily), 0) AS covered_pct FROM fc GROUP BY grp, sku"""
 
 
 _SUMS = "stores_sum sku_daily covered_pct"
 
 
-@query(_checks_sql(_TENTH), _SUMS)
+@query(_checks_sql(), _SUMS)
 def forecast_checks(spark, d):
-    return forecast.checks(_forecast(spark, d, skus=_TENTH))
+    return forecast.checks(_forecast(spark, d))
 
 
 @query(_checks_sql(), _SUMS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import share_of_total
+from ..functions import with_share
 from ..operators import pilot, reports
 from . import base as b
 from .base import query
@@ -98,7 +98,7 @@ def band_share_error(spark, d):
 @query(f"WITH {b.SALES}, per AS (SELECT region, band, sum(revenue) AS revenue FROM sales GROUP BY ALL)--FROM--SELECT region, band, revenue, 100 * revenue / sum(revenue) OVER () AS share_pct, revenue / sum(revenue) OVER (PARTITION BY region) AS in_region FROM per", "revenue share_pct in_region", 3)
 def sales_share_bands(spark, d):
     per = b.sales(spark, d).groupBy("region", "band").agg(F.sum("revenue").alias("revenue"))
-    return reports.with_total_share(per, "revenue").withColumn("in_region", share_of_total(F.col("revenue"), "region"))
+    return with_share(reports.with_total_share(per, "revenue"), {"in_region": "revenue"}, ["region"])
 
 
 _DAYS = ["1999-03-07", "1999-03-08", "1999-03-09"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import share_of_total, smape
+from ..functions import share_of_total, smape, with_share
 from ..operators import reports
 from . import base as b
 from .base import query
@@ -109,7 +109,7 @@ def share_by_band_region(spark, d):
 def unconstrained_participation(spark, d):
     free = F.col("qty") + F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")).otherwise(0.0)
     per = b.sales(spark, d).groupBy("region", "grp", "brand").agg(F.sum(free).alias("demand"), F.sum("revenue").alias("revenue"))
-    return per.withColumns({f"{c}_pct": 100 * share_of_total(F.col(c), "region") for c in ("demand", "revenue")})
+    return with_share(per, {f"{c}_pct": c for c in ("demand", "revenue")}, ["region"], 100)
 
 
 @query(f"WITH {b.SALES}, per AS (SELECT grp, store, year_month, sum(qty) AS qty, median(qty) AS median_qty FROM sales GROUP BY ALL)--FROM--SELECT *, qty / sum(qty) OVER (PARTITION BY grp, year_month) AS share FROM per", "share")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import comma_number
 from ..operators.export import file_numbers
+from ..operators.lineage import running_total
 
 
-def overwrite_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """The table's rows and columns are replaced; with a path its files lie there, not in the warehouse."""
+    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def replace_months(df: DataFrame, path: str, month: str = "year_month") -> None:
@@ -39,10 +42,8 @@ def single_csv(df: DataFrame, path: str) -> None:
 
 
 def export_parts(df: DataFrame, path: str, order: list[str], numbers: list[str], most: int = 250_000) -> None:
-    """CSV parts of exactly `most` rows but the last, in order. Rows are counted per range first, so no task sorts them all."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range_", F.spark_partition_id())
-    ranged = ranged.withColumn("nth_", F.row_number().over(Window.partitionBy("range_").orderBy(*order)))
-    sizes = ranged.groupBy("range_").agg(F.count("*").alias("n_"))
-    before = F.coalesce(F.sum("n_").over(Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = ranged.join(F.broadcast(sizes.select("range_", before.alias("before_"))), "range_").withColumn("part", F.floor((F.col("before_") + F.col("nth_") - 1) / most).cast("int"))
-    with_commas(parts.drop("range_", "nth_", "before_"), numbers).repartition("part").write.mode("overwrite").partitionBy("part").csv(path, sep=";", header=True)
+    """CSV parts of exactly `most` rows but the last, in order, which must be a full one. Rows are counted per range, so no
+    task sorts them all; the ranges are stored before they are counted, so every row has one number."""
+    numbered = running_total(df, [F.asc(c) for c in order], F.lit(1), "nth_")
+    parts = numbered.withColumn("part", F.floor((F.col("nth_") - 1) / most).cast("int")).drop("nth_")
+    with_commas(parts, numbers).repartition("part").write.mode("overwrite").partitionBy("part").csv(path, sep=";", header=True)
