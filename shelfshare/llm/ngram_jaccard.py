@@ -321,11 +321,12 @@ def _candidates(partial: DataFrame, pairs: DataFrame, group: DataFrame, likeness
     around = members.groupBy("b", "cell", "ring").agg(F.min("group").alias("low"), F.max("group").alias("high"))
     around = around.select("b", near("cell"), "ring", "low", "high").select("b", "cell", near("ring"), "low", "high")
     open_ = around.groupBy("b", "cell", "ring").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("b", "cell", "ring")
+    open_ = small(tables.store(open_, "open"), 24)
     members = small(tables.store(members.join(open_, ["b", "cell", "ring"]).select("b", "node", "size", "apart", "group", "nodes"), "open"), 64)
     grams = partial.select("b", F.col("a").alias("node"), F.explode("apart").alias("gram")).join(members, ["b", "node"])
     shared = grams.groupBy("b", "gram").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high"), F.max_by("group", F.struct("nodes", "group")).alias("top")).where("n > 1")
     ranked = grams.join(shared, ["b", "gram"]).groupBy("b", "node", "size", "apart", "group").agg(F.sort_array(F.collect_list(F.struct("n", "gram", F.expr("low < high").alias("mixed"), "top"))).alias("grams"))  # a set's own at most
-    rows = ranked.mapInArrow(lambda batches: _prefixes(batches, likeness), PREFIX)
+    rows = tables.store(ranked.mapInArrow(lambda batches: _prefixes(batches, likeness), PREFIX), "open")
     x, y = (rows.select("b", "gram", "key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "place", "apart", "group", "lead", "top")]) for side in "xy")
     # Of the pairs in one gram those within its largest group, which are of no use, aren't made.
     met = x.where("lead_x and not top_x").join(y, ["b", "gram", "key"]).unionByName(x.where("lead_x and top_x").join(y.where("not top_y"), ["b", "gram", "key"]))
@@ -356,28 +357,31 @@ def _prefixes(batches: Iterator[pa.RecordBatch], likeness: Fraction) -> Iterator
     """
     p, q = likeness.numerator, likeness.denominator
     for batch in batches:
-        found = []
-        for b, node, size, apart, group, grams in zip(*(batch.column(c).to_pylist() for c in ("b", "node", "size", "apart", "group", "grams")), strict=True):
-            most, half = differing(size, size * q // p, likeness), -(-size * (q - p) // (q + p))
-            hashes = np.array([g["gram"] for g in grams], np.int64).view(U64)
-            for i, g in enumerate(grams):
-                place = apart - len(grams) + i
-                if place > most:
-                    break
-                if not g["mixed"]:
-                    continue
-                late = g["n"] > COMMON and half - place <= LEVELS
-                fixed = (node, size, place, apart, group)
-                found.append((b, g["gram"], 0, *fixed, not late, group == g["top"]))
-                if late:
-                    after = hashes[i + 1 :]
-                    for level in range(abs(half - place), LEVELS + 1):
-                        found += [(b, g["gram"], key, *fixed, True, group == g["top"]) for key in _suffix_keys(after, level)]
+        found: list[tuple] = []
+        lists = batch.column("grams")
+        offsets, entries = lists.offsets.to_numpy(), lists.values
+        n, gram, mixed, top = (entries.field(c).to_numpy(zero_copy_only=False) for c in ("n", "gram", "mixed", "top"))
+        hashes = gram.view(U64)
+        for i, (b, node, size, apart, group) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("b", "node", "size", "apart", "group")), strict=True)):
+            lo, hi = int(offsets[i]), int(offsets[i + 1])
+            alone, half = apart - (hi - lo), -(-size * (q - p) // (q + p))  # n-grams of this member only; half of what may differ
+            within = min(hi, lo + max(0, differing(size, size * q // p, likeness) - alone + 1))
+            for j in (lo + np.flatnonzero(mixed[lo:within])).tolist():
+                place = alone + j - lo
+                late = n[j] > COMMON and half - place <= LEVELS
+                fixed, largest = (node, size, place, apart, group), bool(group == top[j])
+                found.append((b, gram[j], 0, *fixed, not late, largest))
+                for level in range(abs(half - place), LEVELS + 1) if late else ():
+                    found += [(b, gram[j], key, *fixed, True, largest) for key in _suffix_keys(hashes[j + 1 : hi], level)]
             if len(found) > 1 << 14:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), PREFIX_KINDS, strict=True)], names=PREFIX_NAMES)
+                yield _prefix_batch(found)
                 found = []
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), PREFIX_KINDS, strict=True)], names=PREFIX_NAMES)
+            yield _prefix_batch(found)
+
+
+def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), PREFIX_KINDS, strict=True)], names=PREFIX_NAMES)
 
 
 def _suffix_keys(grams: np.ndarray, level: int) -> list[int]:
