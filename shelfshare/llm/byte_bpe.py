@@ -2,14 +2,14 @@
 
 A text falls into stretches by a pattern, and each stretch is encoded on its own. Stretches of about one length make up the
 rows of a padded matrix of token ids; in each round every row merges its leftmost pair of least rank, found by a hashed
-lookup of pairs, and closes the gap. Rows without a pair to merge leave the matrix. A stretch that a task has met before is
-looked up, so only new ones are merged.
+lookup of pairs, and closes the gap. Further pairs of that rank in the row are merged in the same round if no new pair beside
+a merged one ranks as low, since those rounds would come next anyway. Rows without a pair to merge leave the matrix. A
+stretch that a task has met before is looked up, so only new ones are merged.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -18,14 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import U64, Known, gather, map_texts, texts_of
+from .common import U64, Known, gather, slices, texts_of
 
 #: White space as the pattern means it; between such places and stretches of other characters a text can be cut.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 NO_RANK = np.iinfo(np.int32).max
-#: Longer stretches are merged one at a time with a heap, which takes n log n steps; the same pairs merge in the same order.
-LONG = 512
+#: A matrix has about so many cells at most, or one row.
+CELLS = 1 << 18
 
 
 class Pairs:
@@ -78,7 +78,6 @@ class Codec:
         # Every way to put a token together from two.
         made = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.pairs = Pairs(*np.array(made, np.int64).T.reshape(3, -1)[:2], np.array([m[2] for m in made], np.int32))
-        self.lookup = {(a, b): r for a, b, r in made}
         size = max(ranks.values()) + 1
         tokens = [b""] * size
         for t, r in ranks.items():
@@ -86,7 +85,6 @@ class Codec:
         self.length = np.array([len(t) for t in tokens], np.int64)
         self.begin = np.cumsum(self.length) - self.length
         self.content = np.frombuffer(b"".join(tokens), np.uint8)
-        self.known, self.stretches = Known(self._pieces), Known(self._stretches)
 
     # --- encoding
 
@@ -94,17 +92,13 @@ class Codec:
         """The ids of all stretches, end to end, and the count of each."""
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # numbers of stretches, their counts, their ids
         size = np.array([len(s) for s in stretches], np.int64)
-        bucket = np.where(size > LONG, -1, np.where(size <= 16, size, 1 << np.frexp(np.maximum(size, 1) - 1)[1]))
+        bucket = np.where(size <= 16, size, 1 << np.frexp(np.maximum(size, 1) - 1)[1])
         for width in np.unique(bucket):
-            pick = np.flatnonzero(bucket == width)
-            if width < 0:
-                for i in pick:
-                    ids = self.merge_long(stretches[i])
-                    parts.append((np.array([i]), np.array([len(ids)]), ids))
-                continue
-            raw = np.frombuffer(b"".join(stretches[i].ljust(width, b"\0") for i in pick), np.uint8).reshape(len(pick), width)
-            ids = np.where(np.arange(width) < size[pick, None], self.byte[raw], -1)
-            parts += self._merge_rows(ids, size[pick].copy(), pick)
+            pick, step = np.flatnonzero(bucket == width), max(1, CELLS // max(1, int(width)))
+            for some in (pick[lo : lo + step] for lo in range(0, len(pick), step)):
+                raw = np.frombuffer(b"".join(stretches[i].ljust(width, b"\0") for i in some), np.uint8).reshape(len(some), width)
+                ids = np.where(np.arange(width) < size[some, None], self.byte[raw], -1)
+                parts += self._merge_rows(ids, size[some].copy(), some)
         if not parts:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         names, count, ids = map(np.concatenate, zip(*parts, strict=True))
@@ -112,64 +106,85 @@ class Codec:
         return gather(ids, begin[order], count[order]), count[order]
 
     def _merge_rows(self, ids: np.ndarray, size: np.ndarray, names: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """All rows of a matrix, a merge per row and round; of the rows that each round finishes, the names, counts and ids."""
+        """All rows of a matrix; of the rows that each round finishes, the names, counts and ids."""
         rank = np.where(np.arange(ids.shape[1] - 1) + 1 < size[:, None], self.pairs(ids[:, :-1], ids[:, 1:]), NO_RANK)
         while True:
-            rows = np.arange(len(ids))
             where = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(ids), np.int64)
-            least = rank[rows, where] if rank.shape[1] else np.full(len(ids), NO_RANK)
+            least = rank[np.arange(len(ids)), where] if rank.shape[1] else np.full(len(ids), NO_RANK)
             done = least == NO_RANK
             if done.any():
                 yield names[done], size[done], ids[done][np.arange(ids.shape[1]) < size[done, None]]
             go = ~done
             if not go.any():
                 return
-            ids, rank, size, names, where, least = ids[go], rank[go], size[go] - 1, names[go], where[go], least[go]
-            rows, width = np.arange(len(ids)), ids.shape[1]
-            ids[rows, where] = least
-            keep = np.arange(width) != (where + 1)[:, None]  # each row loses one cell, so rows stay of one length
-            ids = ids[keep].reshape(len(ids), width - 1)
-            rank = rank[np.arange(width - 1) != where[:, None]].reshape(len(ids), width - 2)
-            for left in (where - 1, where):  # the pairs on both sides of the new token
-                ok = (left >= 0) & (left + 1 < size)
-                rank[rows[ok], left[ok]] = self.pairs(ids[rows[ok], left[ok]], ids[rows[ok], left[ok] + 1])
-                over = (left >= 0) & (left + 1 >= size) & (left < width - 2)
-                rank[rows[over], left[over]] = NO_RANK
-
-    def merge_long(self, stretch: bytes) -> np.ndarray:
-        """One stretch by a heap of its pairs, least rank first, leftmost among equals."""
-        ids = self.byte[np.frombuffer(stretch, np.uint8)].tolist()
-        n, look = len(ids), self.lookup
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := look.get((ids[i], ids[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i] if ids[i] == a else n
-            if j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = r, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (s := look.get((ids[x], ids[y]))) is not None:
-                    heapq.heappush(heap, (s, x, ids[x], ids[y]))
-        return np.array([x for x in ids if x >= 0], np.int32)
+            ids, rank, size, names, where, least = ids[go], rank[go], size[go], names[go], where[go], least[go]
+            row, at = self._round(ids, rank, where, least)
+            # Each row loses a cell per merge and is filled up to the longest row again.
+            ids[row, at] = least[row]
+            keep, keep_rank = np.ones(ids.shape, bool), np.ones(rank.shape, bool)
+            keep[row, at + 1] = keep_rank[row, at] = False
+            lost = np.bincount(row, minlength=len(ids))
+            new = at - (np.arange(len(row)) - np.repeat(np.cumsum(lost) - lost, lost))  # a merge's place when those to its left are made
+            size = size - lost
+            if (lost == 1).all():
+                ids, rank = ids[keep].reshape(len(ids), -1), rank[keep_rank].reshape(len(ids), -1)
+            else:
+                ids, rank = _packed(ids, keep, -1), _packed(rank, keep_rank, NO_RANK)
+            for left in (new - 1, new):  # the pairs on both sides of the new token
+                ok = (left >= 0) & (left + 1 < size[row])
+                rank[row[ok], left[ok]] = self.pairs(ids[row[ok], left[ok]], ids[row[ok], left[ok] + 1])
+                over = (left >= 0) & (left + 1 >= size[row]) & (left < rank.shape[1])
+                rank[row[over], left[over]] = NO_RANK
+
+    def _round(self, ids: np.ndarray, rank: np.ndarray, where: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and place of this round's merges, in order: the leftmost least pair, and those that would follow it."""
+        row, at = np.nonzero(rank == least[:, None])
+        if len(row) == len(ids):
+            return row, at
+        first = np.append(True, row[1:] != row[:-1])
+        start = first | np.append(True, at[1:] != at[:-1] + 1)  # of pairs that overlap every second one is merged
+        index = np.arange(len(row))
+        alone = (index - np.maximum.accumulate(np.where(start, index, 0))) % 2 == 0
+        row, at, first = row[alone], at[alone], first[alone]
+        # A new pair as low as the merged one would be merged before the next: then the row merges its leftmost alone.
+        token, low = least[row], np.full(len(row), NO_RANK)
+        left, right = at > 0, at + 2 < ids.shape[1]
+        low[left] = self.pairs(ids[row[left], at[left] - 1], token[left])
+        low[right] = np.minimum(low[right], self.pairs(token[right], ids[row[right], at[right] + 2]))
+        low = np.minimum(low, self.pairs(token, token))
+        beside = np.flatnonzero((row[1:] == row[:-1]) & (at[1:] == at[:-1] + 3))  # a cell between two new tokens
+        low[beside] = np.minimum(low[beside], self.pairs(ids[row[beside], at[beside] + 2], token[beside]))
+        risky = np.zeros(len(ids), bool)
+        risky[row[low <= token]] = True
+        keep = first | ~risky[row]
+        return row[keep], at[keep]
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces, end to end, and the count of each."""
-        return self.stretches.flat(list(map(self.pattern.findall, pieces)))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return gather(self.content, self.begin[ids], self.length[ids]).tobytes()
+
+
+def _packed(cells: np.ndarray, keep: np.ndarray, fill: int) -> np.ndarray:
+    """The kept cells of each row side by side, filled up to the longest row."""
+    count = keep.sum(axis=1)
+    out = np.full((len(cells), int(count.max())), fill, cells.dtype)
+    out[np.arange(out.shape[1]) < count[:, None]] = cells[keep]
+    return out
+
+
+class Remembering:
+    """A task's encoder, with the stretches and the pieces between spaces that it has met."""
 
-    def _stretches(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.merge([s.encode("utf-8", "surrogatepass") for s in stretches])
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self.pieces = Known(self._pieces)
+        self.stretches = Known(lambda new: codec.merge([s.encode("utf-8", "surrogatepass") for s in new]))
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.stretches.flat(list(map(self.codec.pattern.findall, pieces)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as 32-bit integers."""
-        return self.known([PIECE.findall(t) for t in texts])
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return gather(self.content, self.begin[ids], self.length[ids]).tobytes()
+        return self.pieces([PIECE.findall(t) for t in texts])
 
 
 @cache
@@ -184,14 +199,17 @@ def vocabulary() -> tuple[str, str]:
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id and ids (array of int) of each whole text; null and empty texts have none."""
+    """doc_id and ids (array of int) of each whole text; null and empty texts have none. One row out per row in, also for
+    repeated rows; equal texts have equal ids."""
     path, pattern = path or vocabulary()[0], pattern or vocabulary()[1]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = codec(path, pattern).encode([t or "" for t in batch.column("text").to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Remembering(codec(path, pattern))
+        for batch in slices(batches):
+            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, ids array<int>", most=1 << 20, keep=True)
+    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -210,10 +228,11 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     """doc_id, n_tokens, ids (as little-endian unsigned 32-bit integers), content (the bytes decoded from the ids)."""
     path, pattern = path or vocabulary()[0], pattern or vocabulary()[1]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c = codec(path, pattern)
-        ids = c.encode([t or "" for t in batch.column("text").to_pylist()])
-        cols = [[len(x) for x in ids], [x.astype("<u4").tobytes() for x in ids], [c.decode(x) for x in ids]]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, cols, [pa.int64(), pa.binary(), pa.binary()])], names=["doc_id", "n_tokens", "ids", "content"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Remembering(codec(path, pattern))
+        for batch in slices(batches):
+            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            cols = [[len(x) for x in ids], [x.astype("<u4").tobytes() for x in ids], [encoder.codec.decode(x) for x in ids]]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, cols, [pa.int64(), pa.binary(), pa.binary()])], names=["doc_id", "n_tokens", "ids", "content"])
 
-    return map_texts(texts_of(df, id_col, text_col), run, "doc_id long, n_tokens long, ids binary, content binary", most=1 << 20, keep=True)
+    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, content binary")
