@@ -35,8 +35,10 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and row of every word: a run of letters of one case, of digits, or of one mark; a capital before small letters belongs to them."""
     kind = KIND[data]
     if len(kind) > 1:
-        capital = (kind[:-1] == 2) & (kind[1:] == 1)
-        lone = capital & np.append(True, kind[:-2] != 2)
+        begins = np.zeros(len(kind) + 1, bool)
+        begins[at] = True  # of rows: what stands before and after a byte counts only in its own
+        capital = (kind[:-1] == 2) & (kind[1:] == 1) & ~begins[1:-1]
+        lone = capital & (np.append(True, kind[:-2] != 2) | begins[:-2])
         kind = kind.copy()
         kind[:-1][lone] = 1
     start, end = runs(kind > 0, kind, at)
@@ -155,7 +157,8 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows where allowed holds (a condition on doc_id); None unless both labels are there.
 
-    The sample is chosen by a hash of the id and is the only thing of which more than sums reaches the driver.
+    The sample is chosen by a hash of the id and is the only thing of which more than sums reaches the driver. An id with both
+    labels counts as 1; rows of one id and without text are each learned from, or left out, by themselves.
     """
     known = labels.where(allowed & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     by = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
@@ -171,6 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
 
     got = sorted(map(tuple, map_texts(rows, run, "doc_id long, quality int, x binary").collect()))
+    if not got:  # labels, but no texts of theirs
+        return None
     x, y = np.array([np.frombuffer(r[2], np.float32) for r in got], np.float64), np.array([r[1] for r in got], float)
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
     mean[-1], scale[-1] = 0, 1  # the constant stays
