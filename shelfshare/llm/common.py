@@ -166,32 +166,32 @@ BLOCK = 1 << 16
 UP, DOWN = (np.multiply.accumulate(np.append(U64(1), np.full(BLOCK, U64(step)))) for step in (int(_BASE), pow(int(_BASE), -1, 1 << 64)))
 
 
-def _long_sum(data: np.ndarray) -> np.uint64:
+def _long_sum(data: np.ndarray, values: np.ndarray) -> np.uint64:
     """The polynomial of a run longer than BLOCK, taken a block at a time."""
     total, factor = np.zeros(1, U64), np.ones(1, U64)
     for lo in range(0, len(data), BLOCK):
         part = data[lo : lo + BLOCK]
-        total += (_BYTE[part] * UP[: len(part)]).sum() * factor
+        total += (values[part] * UP[: len(part)]).sum() * factor
         factor *= UP[BLOCK]
     return total[0]
 
 
-def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each run, by prefix sums of a polynomial; equal bytes give equal hashes.
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each run, by prefix sums of a polynomial; equal runs give equal hashes.
 
-    The runs are in order and don't overlap. Blocks of runs are hashed one after the other, so the working memory is fixed.
+    values has a random number for each value in data. The runs are in order and don't overlap. Blocks of runs are hashed one after the other, so the working memory is fixed.
     """
     out, lo = np.zeros(len(start), U64), 0
     while lo < len(start):
         first = int(start[lo])
         hi = int(np.searchsorted(end, first + BLOCK, "right"))
         if hi <= lo:
-            out[lo] = _long_sum(data[first : int(end[lo])])
+            out[lo] = _long_sum(data[first : int(end[lo])], values)
             lo += 1
             continue
         part = data[first : int(end[hi - 1])]
         total = np.zeros(len(part) + 1, U64)
-        np.cumsum(_BYTE[part] * UP[: len(part)], out=total[1:])
+        np.cumsum(values[part] * UP[: len(part)], out=total[1:])
         a, b = start[lo:hi] - first, end[lo:hi] - first
         out[lo:hi] = (total[b] - total[a]) * DOWN[a]
         lo = hi
@@ -310,5 +310,7 @@ class Known:
 
     def __call__(self, split: list[list[str]]) -> list[np.ndarray]:
         """The ids of each text, given as its pieces."""
+        if not split:
+            return []
         ids, count = self.flat(split)
-        return np.split(ids, np.cumsum(count)[:-1]) if split else []
+        return np.split(ids, np.cumsum(count)[:-1])

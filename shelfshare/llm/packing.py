@@ -4,10 +4,13 @@ The tokens of a task's documents stand in a row. Dynamic programming chooses whe
 cut inside a document a truncation penalty, a larger one if no sentence ends there. Since padding falls by one with each
 token, the best start of a window that ends at j is the least of cost(i) + position(i) over the places i within reach,
 which a monotone queue holds ready. Windows whose length is a power of two aren't padded, so those starts are tried too.
+The plan is the cheapest one for each block of tokens; what the last window of a block holds goes into the next block.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
@@ -17,74 +20,150 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import Known, slices, texts_of
+from .common import U64, Known, gather, run_hashes, slices, texts_of
 
 CAPACITY, END = 4096, 2
 #: Costs in tokens of padding: of a sequence, of a cut at a sentence's end, of a cut elsewhere.
 SEQUENCE, SENTENCE, HARD = 8, 24, 160
-#: Sentence ends nearer than this to the last one kept aren't tried; places between sentences are tried where none ends for so long.
-NEAR, FAR = 24, 1024
+#: Where no sentence or document ends for so many tokens, places in between are tried.
+FAR = 128
+#: Words that a task remembers.
+KNOWN = 400_000
 #: Tokens that are planned together.
 BLOCK = 1 << 19
-#: Python's split takes these for white space, the tokenizer doesn't; a text with one is encoded as a whole.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: Characters that end a sentence.
+STOPS = ".!?\u2026\u3002\uff01\uff1f"
+
+#: Characters of which it is known how the tokenizer lower-cases and splits them: those up to U+024F, but for the capital I
+#: with a dot, whose lower case is two characters. A stretch with others is left to the library.
+PLAIN = re.compile("[\x00-\u012f\u0131-\u024f]*")
+_lower = sorted({chr(i).lower() for i in range(0x250) if i != 0x130})
+_LETTERS, _DIGITS = (re.escape("".join(c for c in _lower if unicodedata.category(c)[0] == kind)) for kind in "LN")
+# White space and the pattern of a word, as the tokenizer's file has them.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+STRETCH = re.compile(f"[^{_WHITE}]+")
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_WHITE}{_LETTERS}{_DIGITS}]+")
+#: The tokenizer writes each byte of a word as one character: visible ones as themselves, the others from U+0100 on.
+_seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _seen)}
 
 
 class WordTokenizer:
-    """ids by the tokenizers library; it drops white space, so a text's ids are those of its parts between white space."""
+    """ids by the tokenizers library. Texts are cut into its words here, so that each word is encoded once per task."""
 
-    def __init__(self, path: str, known: int = 800_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known, self.parts = Known(self._pieces, known), Known(self._parts, known)
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.final = np.array([n.endswith("</w>") for n in names])
-        names = [n.removesuffix("</w>") for n in names]
-        self.ends = np.array([bool(n) and any(c in ".!?" for c in n) and not any(c.isalnum() for c in n) for n in names])
-
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of stretches without white space. The tokenizer always parts letters and digits from marks after them, and
-        lower-cases, so a stretch is that of its stem in lower case and of the stops and commas at its end."""
-        split = []
-        for piece in pieces:
-            stem = piece.rstrip(".,")
-            if not stem or not stem[-1].isalnum():
-                stem = piece
-            tail = piece[len(stem) :]
-            stem = stem.lower() if stem.isascii() else stem
-            split.append([stem, tail] if tail else [stem])
-        return self.parts.flat(split)
-
-    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of parts not met before. Words of letters alone are encoded many at once, as each has one word-final token."""
-        words, others = [i for i, p in enumerate(parts) if p.isalpha()], [i for i, p in enumerate(parts) if not p.isalpha()]
-        out: list[np.ndarray] = [None] * len(parts)  # type: ignore[list-item]
-        for lo in range(0, len(words), 64):
-            few = words[lo : lo + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(parts[i] for i in few), add_special_tokens=False).ids, np.int32)
-            stops = np.flatnonzero(self.final[ids]) + 1
-            if len(stops) != len(few):
-                others += few
-                continue
-            for i, own in zip(few, np.split(ids, stops[:-1]), strict=True):
-                out[i] = own
-        for i in others:
-            out[i] = np.array(self.tokenizer.encode(parts[i], add_special_tokens=False).ids, np.int32)
-        return np.concatenate(out), np.array([len(x) for x in out])
+        self.model = self.tokenizer.model
+        back = {ord(c): b for b, c in BYTES.items()} | {b: b for b in _seen}
+        names = [(self.tokenizer.id_to_token(i) or "").removesuffix("</w>") for i in range(self.tokenizer.get_vocab_size())]
+        texts = [bytes(back[ord(c)] for c in n if ord(c) in back).decode("utf-8", "ignore") for n in names]
+        self.ends = np.array([any(c in STOPS for c in t) and not any(c.isalnum() for c in t) for t in texts])
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text, lower-cased; a space stands before a stretch that the library is to take whole."""
+        if text.isascii() or PLAIN.fullmatch(text):
+            return WORD.findall(text.lower())
+        out: list[str] = []
+        for stretch in STRETCH.findall(text):
+            out += WORD.findall(stretch.lower()) if PLAIN.fullmatch(stretch) else [f" {stretch}"]
+        return out
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, end to end, and the count of each."""
+        ids: list[int] = []
+        ends, tokenize = [0], self.model.tokenize
+        for word in words:
+            if word[0] == " ":
+                ids += self.tokenizer.encode(word[1:], add_special_tokens=False).ids
+            else:
+                ids += [t.id for t in tokenize(word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTES))]
+            ends.append(len(ids))
+        return np.array(ids, np.int32), np.diff(ends)
+
+
+_codes = np.arange(0x250)
+#: Lower case of each plain character; its kind: 0 white space, 1 letter, 2 digit, 3 any other; two random numbers each.
+SMALL = np.array([ord(chr(i).lower()) if i != 0x130 else 0 for i in _codes], np.uint16)
+_white = set(map(chr, [*range(9, 14), 32, 0x85, 0xA0]))
+KIND = np.array([0 if chr(i) in _white else {"L": 1, "N": 2}.get(unicodedata.category(chr(SMALL[i]))[0], 3) for i in _codes], np.int8)
+VALUES = np.random.default_rng(13).integers(1, 1 << 63, (2, int(SMALL.max()) + 1), dtype=np.uint64) * U64(2) + U64(1)
+_APOSTROPHE = ord("'")
+
+
+def word_runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What WORD finds in plain characters: their lower case, and each word's start and end."""
+    small, kind = SMALL[codes], KIND[codes]
+    if not len(codes):
+        return small, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 2))
+    start = np.flatnonzero(cut)
+    end, of = np.append(start[1:], len(codes)), kind[start]
+    # A lone apostrophe takes the letters of a short form from the word after it.
+    lone = np.flatnonzero((small[start[:-1]] == _APOSTROPHE) & (end[:-1] - start[:-1] == 1) & (of[1:] == 1)) if len(start) > 1 else start[:0]
+    if len(lone):
+        a = small[end[lone]]
+        b = np.where(end[lone] + 1 < end[lone + 1], small[np.minimum(end[lone] + 1, len(small) - 1)], 0)
+        takes = np.where(np.isin(a, list(map(ord, "stmd"))), 1, np.where((a == ord("r")) & (b == ord("e")) | (a == ord("v")) & (b == ord("e")) | (a == ord("l")) & (b == ord("l")), 2, 0))
+        end[lone] += takes
+        start[lone + 1] += takes
+    real = (of > 0) & (end > start)
+    return small, start[real], end[real]
+
+
+class Remembering:
+    """A task's tokenizer, with the words that it has met. Words of plain characters are told apart by two 64-bit hashes."""
+
+    def __init__(self, tokenizer: WordTokenizer, most: int):
+        self.tokenizer, self.most, self.others = tokenizer, most, Known(tokenizer.ids, most)
+        self.forget()
+
+    def forget(self) -> None:
+        self.names, self.place = np.zeros(0, U64), np.zeros(0, np.int64)  # first hashes in order, and where their words are kept
+        self.check, self.ids, self.at, self.count = (np.zeros(0, t) for t in (U64, np.int32, np.int64, np.int64))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        odd = [any(c in t for c in ODD_SPACE) for t in texts]
-        out = self.known([[] if o else t.split() for t, o in zip(texts, odd, strict=True)])
-        for i in np.flatnonzero(odd):
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
-        return out
+        plain = [t.isascii() or PLAIN.fullmatch(t) is not None for t in texts]
+        found = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if p]))
+        rest = iter(self.others([self.tokenizer.words(t) for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(found if p else rest) for p in plain]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text of plain characters; a line break, which is no word, stands between the texts."""
+        if not texts:
+            return []
+        small, start, end = word_runs(np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32))
+        first, second = (run_hashes(small, start, end, v) for v in VALUES)
+        names, some, each = np.unique(first, return_index=True, return_inverse=True)
+        if (second[some][each] != second).any():
+            return self.others([self.tokenizer.words(t) for t in texts])
+        if len(self.names) > self.most:
+            self.forget()
+        where = np.searchsorted(self.names, names)
+        hit = np.append(self.names, ~U64(0))[where] == names
+        place = np.where(hit, np.append(self.place, -1)[where], -1)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            content = small.tobytes().decode("utf-16-le")
+            ids, count = self.tokenizer.ids([content[a:b] for a, b in zip(start[some[missing]].tolist(), end[some[missing]].tolist(), strict=True)])
+            place[missing] = len(self.names) + np.arange(len(missing))
+            self.names, self.place = (np.insert(old, where[missing], new[missing]) for old, new in ((self.names, names), (self.place, place)))
+            self.at = np.append(self.at, len(self.ids) + np.cumsum(count) - count)
+            self.ids, self.count = np.append(self.ids, ids), np.append(self.count, count)
+            self.check = np.append(self.check, second[some[missing]])
+        if (self.check[place] != second[some]).any():
+            return self.others([self.tokenizer.words(t) for t in texts])
+        word = place[each]
+        stop = np.cumsum([len(t) + 1 for t in texts])
+        total = np.append(0, np.cumsum(self.count[word]))
+        return np.split(gather(self.ids, self.at[word], self.count[word]), total[np.searchsorted(start, stop[:-1])])
 
 
 @cache
-def tokenizer(path: str, known: int) -> WordTokenizer:
-    return WordTokenizer(path, known)
+def tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
 
 def vocabulary() -> str:
@@ -95,31 +174,31 @@ def vocabulary() -> str:
 
 def places(ends: np.ndarray, docs: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Where a cut is tried, from 0 to total, and its penalty; ends are the places after sentences, docs those after documents."""
-    if len(ends):  # thin them out: one in each stretch of NEAR tokens
-        ends = ends[np.append(True, ends[1:] // NEAR != ends[:-1] // NEAR)]
-    at = np.unique(np.concatenate([[0, total], ends, docs]))
-    gap = np.diff(at)
-    far = np.flatnonzero(gap > FAR)
-    if len(far):
-        at = np.unique(np.concatenate([at, *(np.arange(at[i], at[i + 1], FAR) for i in far)]))
-    fee = np.full(len(at), float(HARD))
-    fee[np.isin(at, ends)] = SENTENCE
-    fee[np.isin(at, docs)] = 0
-    fee[[0, -1]] = 0
-    return at, fee
-
-
-def plan(at: np.ndarray, fee: np.ndarray, capacity: int = CAPACITY) -> list[int]:
+    cost = np.full(total + 1, -1, np.int16)
+    cost[ends] = SENTENCE
+    cost[docs] = cost[0] = cost[total] = 0
+    at = np.flatnonzero(cost >= 0)
+    far = np.flatnonzero(np.diff(at) > FAR)
+    for lo, hi in zip(at[far].tolist(), at[far + 1].tolist(), strict=True):
+        cost[lo + FAR : hi : FAR] = HARD
+    at = np.flatnonzero(cost >= 0)
+    return at, cost[at].astype(float)
+
+
+def plan(at: np.ndarray, fee: np.ndarray, capacity: int = CAPACITY, least: int | None = None) -> list[int]:
     """The chosen places, first and last included: windows of at most capacity with the least cost in all.
 
-    Neighbouring places must not be further apart than capacity. Of equal costs the later start wins.
+    Neighbouring places must not be further apart than capacity. Of equal costs the later start wins. Windows without
+    padding, of a power of two, are tried from `least` tokens on, an eighth of the capacity if it isn't given.
     """
-    n = len(at)
+    n, size = len(at), least or capacity >> 3
     exact: dict[int, list[int]] = {}
-    for k in range(capacity.bit_length() - 1):
-        i = np.searchsorted(at, at - (1 << k))
-        for j in np.flatnonzero((at >= 1 << k) & (at[np.minimum(i, n - 1)] == at - (1 << k))):
-            exact.setdefault(int(j), []).append(int(i[j]))
+    while size < capacity:
+        i = np.searchsorted(at, at - size)
+        hit = np.flatnonzero((at >= size) & (at[np.minimum(i, n - 1)] == at - size))
+        for j, e in zip(hit.tolist(), i[hit].tolist(), strict=True):
+            exact.setdefault(j, []).append(e)
+        size *= 2
     at, fee = at.tolist(), fee.tolist()
     best, come = [0.0] * n, [0] * n
     queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])  # cost + place, place, index; rising costs
@@ -196,19 +275,20 @@ class Packer:
         self.docs, self.waiting = rest, sum(len(d[1]) for d in rest)
 
 
-def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, known: int = 800_000) -> DataFrame:
+def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, known: int = KNOWN) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document's tokens are its ids and END; null and empty texts have END alone. Each task packs the rows it reads, in their
     order, and holds BLOCK tokens and one document at a time; nothing is shuffled. A sequence is of one task; its id holds
-    the task's number. Rows of one id are documents of their own. capacity must be a power of two.
-    known is how many words a task's process remembers the ids of: memory against time, results are the same.
+    the task's number. Rows of one id are documents of their own, repeated rows too; an empty table gives no pieces.
+    capacity must be a power of two. known is how many words a task remembers the ids of: memory against time, results are
+    the same.
     """
     path = path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path, known)
-        packer = Packer(TaskContext.get().partitionId() << 36, encode.ends, capacity)
+        encode = Remembering(tokenizer(path), known)
+        packer = Packer(TaskContext.get().partitionId() << 36, encode.tokenizer.ends, capacity)
 
         def rows(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             got = list(pieces)
@@ -218,7 +298,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
                 kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, kinds)), names=NAMES)
 
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode([t or "" for t in batch.column("text").to_pylist()]), strict=True):
                 yield from rows(packer.add(doc_id, np.append(ids, np.int32(END))))
         yield from rows(packer.flush())
