@@ -100,7 +100,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives an empty result.
 
     Whole texts are shuffled once, into ranges of ids; each range also gets the first row of the range after it. So the only
-    rows sent twice are one per range, and a task holds two texts at a time.
+    rows sent twice are one per range, and a task holds two texts at a time. Ids are taken to be nearly unique: rows of one
+    id, and those without, are in one range, since the order has nothing else to part them by than whole texts.
     """
     docs = texts_of(df, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

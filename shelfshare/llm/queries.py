@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe, language_id, line_crf, ngram_jaccard, order_minhash, packing, quality, secret_scan, sharding, warc
 from .common import table
 from .language_id import remainder
+from .sql import ORACLE_SQL  # noqa: F401
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -51,8 +52,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document goes, and where it would go if the first shard were lost."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    rest = sharding.place(docs, "doc_id", SHARDS, shard_col="shard")
-    return sharding.place(rest.drop("slot"), "doc_id", SHARDS[1:], shard_col="shard_after_loss").select("doc_id", "slot", "shard", "shard_after_loss")
+    whole = sharding.place(docs, "doc_id", SHARDS)
+    return sharding.place(whole, "doc_id", SHARDS[1:], shard_col="shard_after_loss").select("doc_id", "slot", "shard", "shard_after_loss")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +67,3 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_order_minhash, op4_line_crf, op5_warc, op6_ngram_jaccard, op7_byte_bpe, op8_sharding, op9_quality, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}

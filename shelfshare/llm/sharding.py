@@ -42,11 +42,21 @@ def slot(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots))
 
 
-def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS, shard_col: str = "shard") -> DataFrame:
-    """df with `slot` and the name of the shard that a row belongs to. Equal keys share a shard; an empty table stays empty."""
-    table = lookup_table(shards, slots)
-    side = df.sparkSession.createDataFrame([(i, shards[s]) for i, s in enumerate(table.tolist())], f"slot long, {shard_col} string")
-    return df.withColumn("slot", slot(F.col(key), slots)).join(F.broadcast(side), "slot")  # as many rows as slots
+def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS, shard_col: str = "shard", slot_col: str = "slot") -> DataFrame:
+    """df with the slot and the name of the shard that a row belongs to, as its last two columns.
+
+    Equal keys share a shard, null keys too; repeated rows all stay; an empty table stays empty. Columns of df that have the
+    name of one of the two are replaced by it, also the key.
+    """
+    if slot_col.lower() == shard_col.lower():
+        raise ValueError("slot and shard need different names")
+    own, table = "_slot_of_row", lookup_table(shards, slots)
+    while own.lower() in {c.lower() for c in df.columns}:
+        own += "_"
+    side = df.sparkSession.createDataFrame([(i, shards[s]) for i, s in enumerate(table.tolist())], f"{own} long, {own}_shard string")
+    rest = [f"`{c}`" for c in df.columns if c.lower() not in (slot_col.lower(), shard_col.lower())]
+    found = df.select("*", slot(F.col(f"`{key}`"), slots).alias(own)).join(F.broadcast(side), own)  # as many rows as slots
+    return found.select(*rest, F.col(own).alias(slot_col), F.col(f"{own}_shard").alias(shard_col))
 
 
 def write_sharded(df: DataFrame, key: str, shards: list[str], path: str, slots: int = SLOTS) -> None:

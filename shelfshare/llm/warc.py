@@ -172,7 +172,10 @@ COLUMNS = "page_id long, url string, record_type string, payload_bytes long, pay
 
 
 def read(spark: SparkSession, archives: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = False) -> DataFrame:
-    """A row per page record of the archives (columns path and bytes), in splits of split_bytes; with the payload on request."""
+    """A row per page record of the archives (columns path and bytes), in splits of split_bytes; with the payload on request.
+
+    Each record is read by the one split that it starts in, so repeated records give repeated rows; no archives give no rows.
+    """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     splits = archives.where("bytes > 0").select("path", F.col("bytes").alias("whole"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start")).repartition(parts)
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * payload]

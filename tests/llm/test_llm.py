@@ -6,13 +6,15 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfshare.llm import byte_bpe, language_id, line_crf, ngram_jaccard, order_minhash, packing, quality, secret_scan, sharding, warc
-from shelfshare.llm.common import scratch
+from shelfshare.llm.common import scratch, utf8
 from shelfshare.llm.components import connected
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -166,7 +168,7 @@ def test_lines(docs, empty):
     for i, t in TEXTS:
         if i is not None:
             t, r = t or "", got[i]
-            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == line_crf.base_counts(t)
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base_by_hand(t)
             assert r.n_words == len(WORD.findall(t)) and r.n_lines == t.count("\n") + 1
     assert got[15].n_dup_lines == 1 and got[7].kept and not got[1].kept
     assert line_crf.label_lines(empty, line_crf.DEFAULT).count() == 0
@@ -198,8 +200,57 @@ def test_crf_learns():
     rng = np.random.default_rng(1)
     label = np.repeat(rng.integers(0, 2, 60), 5)
     x = np.stack([np.ones(300), label * 2 - 1 + rng.normal(0, 1.0, 300)], axis=1)
-    w = line_crf.fit(x, np.full(30, 10), label, 80)
-    assert (line_crf.viterbi(x @ w.content, np.full(30, 10), w.step) == label).mean() > 0.85
+    content, step = line_crf.fit(x, np.full(30, 10), np.where(label == 1, 4.0, -4.0), 80)
+    assert (line_crf.viterbi(x @ content, np.full(30, 10), step) == label).mean() > 0.85
+
+
+def test_crf_gradient():
+    """Against finite differences, and the value against all labellings."""
+    rng = np.random.default_rng(6)
+    f, evidence, real = rng.normal(size=(3, 4, 2)), rng.normal(size=(3, 4)), np.arange(4) < np.array([[4], [1], [3]])
+    theta = rng.normal(size=6)
+    value, grad = line_crf.objective(theta, [(f, evidence, real)])
+    for i in range(6):
+        up, down = theta.copy(), theta.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        assert abs((line_crf.objective(up, [(f, evidence, real)])[0] - line_crf.objective(down, [(f, evidence, real)])[0]) / 2e-5 - grad[i]) < 1e-7
+    total, step = 0.0, theta[-4:].reshape(2, 2)
+    for r, n in enumerate((4, 1, 3)):
+        free, held = [], []
+        for y in itertools.product((0, 1), repeat=n):
+            s = sum(y[t] * f[r, t] @ theta[:2] for t in range(n)) + sum(step[a, b] for a, b in itertools.pairwise(y))
+            free.append(s)
+            held.append(s + sum(y[t] * evidence[r, t] for t in range(n)))
+        total += np.logaddexp.reduce(held) - np.logaddexp.reduce(free)
+    assert abs(total / 8 - value) < 1e-9
+
+
+def test_mixed_document(spark):
+    """Prose with licence lines and a menu between: both kinds of lines come out, and a document of prose stays."""
+    good = [" ".join(prose(9000 + 10 * i + k, 12).split()) + "." for i in range(120) for k in range(6)]
+    menu, licence = ["home | about | contact | login", "home | about | help"], "All rights reserved by the owner of this site."
+    texts = [(i, "\n".join([menu[i % 2], *good[6 * i : 6 * i + 3], licence, *good[6 * i + 3 : 6 * i + 6], licence])) for i in range(120)]
+    texts += [(1000 + i, "\n".join(["buy now!!! $$$ click | here"] * 5 + [menu[i % 2], "### *** ###"])) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    weights = line_crf.train(docs, docs.selectExpr("doc_id", "int(doc_id < 1000) quality"))
+    new = "\n".join([menu[0], *good[100:103], licence, *good[300:303]])
+    found = line_crf.lines_of(*utf8(pa.array([new])))
+    got = line_crf.viterbi(found.with_wording(weights.lexicon) @ weights.content, found.per_row, weights.step).tolist()
+    assert got == [False, True, True, True, False, True, True, True]
+    kept = {r.doc_id: r for r in line_crf.label_lines(docs, weights).collect()}
+    assert all(kept[i].kept and kept[i].n_content_lines == 6 for i in range(120)) and not any(kept[1000 + i].kept for i in range(60))
+
+
+def base_by_hand(text):
+    """The base counts in another way: per place and by comparing all windows."""
+    found = WORD.findall(text)
+    windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+    many = {w for w in set(windows) if windows.count(w) > 1} if len(windows) < 1000 else {w for w, n in Counter(windows).items() if n > 1}
+    covered = {i + k for i, w in enumerate(windows) if w in many for k in range(3)}
+    lines = text.split("\n")
+    dup = sum(1 for i, line in enumerate(lines) if line in lines[:i] and WORD.search(line)) if len(lines) < 1000 else 0
+    return len(found), sum(1 for c in text if c not in "\t\n\x0b\x0c\r "), sum(text.count(c) for c in "#*$%&|<>"), dup, len(covered)
 
 
 # --- archives
@@ -265,7 +316,7 @@ def test_parts_of_near_sets_agree():
         other = np.sort(np.append(base[drop // 2 :], rng.integers(0, 1 << 63, drop // 2).astype(np.uint64)))
         common = len(np.intersect1d(base, other))
         if 10 * common >= 9 * (len(base) + len(other) - common):
-            assert set(ngram_jaccard.parts(base)) & set(ngram_jaccard.parts(other))
+            assert np.array_equal(base, other) or set(ngram_jaccard.parts(base)) & set(ngram_jaccard.parts(other))  # equal sets are one node
 
 
 def test_long_chain(spark):
@@ -284,8 +335,8 @@ def test_bpe_like_the_library(docs, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(3)
-    odd = ["".join(rng.choice(" \t\n\x1c\xa0ab'sréß漢🙂12.!_") for _ in range(rng.randrange(30))) for _ in range(500)] + ["a" * 3000, "ab" * 900, "=" * 2000]
-    assert [x.tolist() for x in byte_bpe.codec(path, pattern).encode(odd)] == [library.encode_ordinary(t) for t in odd]
+    odd = ["".join(rng.choice(" \t\n\x1c\xa0ab'sréß漢🙂12.!_") for _ in range(rng.randrange(30))) for _ in range(500)] + ["a" * 3000, "ab" * 900, "=" * 2000, "".join(rng.choice("abcdethein") for _ in range(20_000))]
+    assert [x.tolist() for x in byte_bpe.Remembering(byte_bpe.codec(path, pattern)).encode(odd)] == [library.encode_ordinary(t) for t in odd]
     got = {r.doc_id: r for r in byte_bpe.round_trip(docs).where("doc_id is not null").collect()}
     for i, t in TEXTS:
         if i is not None:
@@ -327,7 +378,7 @@ def test_plan_is_the_cheapest():
             return np.inf if (w > 16).any() else sum(map(pad, w.tolist())) + sum(fee[c] for c in cuts[1:]) + packing.SEQUENCE * len(w)
 
         best = min(cost((0, *c, len(at) - 1)) for k in range(len(at) - 1) for c in itertools.combinations(range(1, len(at) - 1), k))
-        got = packing.plan(at, fee, 16)
+        got = packing.plan(at, fee, 16, least=1)
         assert cost([at.tolist().index(p) for p in got]) == pytest.approx(best)
 
 
@@ -342,7 +393,7 @@ def test_lookup_table(spark, docs):
     less = sharding.lookup_table(names[1:], 1009)
     stay = table != 0
     assert ((less + 1)[stay] == table[stay]).mean() > 0.8
-    got = sharding.place(docs.drop("shard"), "doc_id", names, 1009)
+    got = sharding.place(docs, "doc_id", names, 1009)
     assert got.count() == len(TEXTS) and got.groupBy("doc_id").agg(F.count_distinct("shard").alias("n")).where("n > 1").count() == 0
     with pytest.raises(ValueError):
         sharding.lookup_table(names, 1000)
