@@ -11,9 +11,6 @@ from shelfshare.llm import language_id, ngram_jaccard, packing, quality, secret_
 from shelfshare.llm.common import scratch, small, stored, table
 from shelfshare.llm.language_id import remainder
 
-#: A language is taken for recognised from this posterior on.
-LEAST_LANGUAGE = 0.5
-
 
 #: A key of the rows, as ids may be null or repeated.
 ROW = "row_key_"
@@ -22,14 +19,13 @@ ROW = "row_key_"
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts 1 for."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
-    return quality.score(docs, model, whole=True).where("predicted <> 0").select("row.*")
+    return quality.keep(docs, model)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     model = language_id.train(table(spark, sf_dir, "documents"), remainder("doc_id", 4) != 2)
-    found = language_id.predict(docs, model, whole=True)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select("row.*")
+    return language_id.keep(docs, model)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
