@@ -83,6 +83,7 @@ def complete_matrix(panel: DataFrame, skus: DataFrame, centres: DataFrame, store
     rows = named(rows).groupBy("grp", "store", "day", "year_month").agg(F.sum("qty").alias("qty"), F.sum("delta").alias("delta"))
     rows = cleaning.filter_atypical_months(rows, cleaning.atypical_months(rows), keep_month)
     rows = demand.robust_demand(cleaning.winsorise(rows, special=special), outlet=outlet)
+    rows = rows.where(F.col("day") <= F.lit(as_of).cast("date"))  # frames look back alone, so later rows need no means
     names = [f"trimmed_{n}" for n in windows]
     rows = demand.backfill(demand.rolling_trimmed_mean(rows, windows), names).select("grp", "store", "day", *names)
     found = layered_share(at_date(rows, as_of), centres, f"trimmed_{dc_window}", names)

@@ -131,8 +131,8 @@ CENTRES = """centres AS (SELECT CAST(s_suppkey AS BIGINT) AS store, CASE CAST(s_
 
 
 def last_measures(spark: SparkSession, d: str, windows: tuple[int, ...] = (90,)) -> DataFrame:
-    names = [f"trimmed_{n}" for n in windows]
-    return shares.at_date(measured(spark, d, windows).select("grp", "store", "day", *names), AS_OF)
+    past = demanded(spark, d).where(F.col("day") <= F.lit(AS_OF).cast("date"))  # frames look back alone, so later rows need no means
+    return shares.at_date(demand.rolling_trimmed_mean(past, windows).select("grp", "store", "day", *[f"trimmed_{n}" for n in windows]), AS_OF)
 
 
 def _last_sql(base: str) -> str:
