@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def robust_demand(df: DataFrame, cap: float = 0.30, outlet: Column | None = None) -> DataFrame:
@@ -13,20 +16,64 @@ def robust_demand(df: DataFrame, cap: float = 0.30, outlet: Column | None = None
     return out.withColumn("demand", demand if outlet is None else F.when(outlet, 0.0).otherwise(demand))
 
 
+#: Rows whose frames are sorted at once.
+FRAMES = 1024
+
+
+def _means(total: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and count of each row and the n before it, from running sums that start with 0; a mean of nothing is NaN."""
+    at = np.arange(1, len(total))
+    first = np.maximum(at - 1 - n, 0)
+    rows = count[at] - count[first]
+    return np.divide(total[at] - total[first], rows, out=np.full(len(at), np.nan), where=rows > 0), rows
+
+
+def _running(values: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.append(0.0, np.cumsum(np.where(counted, values, 0.0))), np.append(0, np.cumsum(counted))
+
+
+def trimmed_means(values: np.ndarray, windows: tuple[int, ...], alpha: float, least: int) -> dict[int, np.ndarray]:
+    """The trimmed means of one series in order; NaN stands for null. Frames are sorted many at once, each once per window."""
+    counted = ~np.isnan(values)
+    sums, size = _running(values, counted), len(values)
+    longest, out = _means(*sums, max(windows))[0], {}
+    for n in windows:
+        plain, rows = _means(*sums, n)
+        frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n, np.inf), np.where(counted, values, np.inf)]), n + 1)
+        rank = lambda q, c: np.maximum(np.ceil(q * c).astype(int) - 1, 0)
+        inside = np.zeros(size, bool)
+        for lo in range(0, size, FRAMES):
+            part, of = slice(lo, lo + FRAMES), np.arange(min(FRAMES, size - lo))
+            ordered = np.sort(frames[part], axis=1)
+            inside[part] = (values[part] >= ordered[of, rank(alpha, rows[part])]) & (values[part] <= ordered[of, rank(1 - alpha, rows[part])])
+        trimmed = np.where(rows < least, plain, _means(*_running(values, counted & inside), n)[0])
+        for other in (plain, longest, np.zeros(size)):
+            trimmed = np.where(np.isnan(trimmed), other, trimmed)
+        out[n] = trimmed
+    return out
+
+
 def rolling_trimmed_mean(df: DataFrame, windows: tuple[int, ...] = (90, 180, 270, 360), value: str = "demand", keys: tuple[str, ...] = ("grp", "store"), order: str = "day", alpha: float = 0.01, least: int = 10) -> DataFrame:
     """A mean without the extremes for each window of n rows before a row, and the row: `trimmed_<n>`.
 
     A row counts if it lies within its own rolling alpha and 1-alpha quantiles. With fewer than `least` rows it is the plain
-    mean; where nothing counts, the plain mean, then that of the longest window, then 0. Both quantiles come from one call,
-    and all windows share a partition and an order, so there is one shuffle and one sort.
+    mean; where nothing counts, the plain mean, then that of the longest window, then 0.
+
+    A series, which has a row per day at most, is one Arrow table. Spark's own sliding quantile builds a new summary of the
+    whole frame for every row and window; here a frame is sorted in one of many rows of a matrix, and its means come from
+    running sums. The shuffle is that of a window over the same keys.
     """
-    w = {n: Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, 0) for n in windows}
-    out = df.withColumns({f"q_{n}": F.percentile_approx(value, F.array(F.lit(alpha), F.lit(1 - alpha)), F.lit(10_000)).over(w[n]) for n in windows})
-    inside = lambda n: F.col(value).between(F.col(f"q_{n}")[0], F.col(f"q_{n}")[1])
-    trimmed = lambda n: F.when(F.count(value).over(w[n]) < least, F.avg(value).over(w[n])).otherwise(F.avg(F.when(inside(n), F.col(value))).over(w[n]))
-    longest = F.avg(value).over(w[max(windows)])
-    out = out.withColumns({f"trimmed_{n}": F.coalesce(trimmed(n), F.avg(value).over(w[n]), longest, F.lit(0.0)) for n in windows})
-    return out.drop(*[f"q_{n}" for n in windows])
+    names = {n: f"trimmed_{n}" for n in windows}
+    schema = StructType([*df.schema.fields, *[StructField(name, DoubleType()) for name in names.values()]])
+
+    def run(series: pa.Table) -> pa.Table:
+        series = series.sort_by(order)
+        found = trimmed_means(series.column(value).cast(pa.float64()).to_numpy(), windows, alpha, least)
+        for n, name in names.items():
+            series = series.append_column(name, pa.array(found[n]))
+        return series
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
 
 
 def rolling_mean_rows(df: DataFrame, windows: tuple[int, ...], value: str, keys: tuple[str, ...] = ("grp", "store"), order: str = "day") -> DataFrame:
