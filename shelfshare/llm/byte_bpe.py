@@ -24,6 +24,10 @@ from .common import U64, Known, gather, slices, texts_of
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 NO_RANK = np.iinfo(np.int32).max
+#: Bytes of text that are encoded at once; more of it gives taller matrices.
+PIECES = 1 << 20
+#: Rows with fewer pairs than this seldom have two of one rank, and merge one in each round.
+WIDE = 16
 #: A matrix has about so many cells at most, or one row.
 CELLS = 1 << 18
 
@@ -118,7 +122,7 @@ class Codec:
             if not go.any():
                 return
             ids, rank, size, names, where, least = ids[go], rank[go], size[go], names[go], where[go], least[go]
-            row, at = self._round(ids, rank, where, least)
+            row, at = self._round(ids, rank, where, least) if rank.shape[1] >= WIDE else (np.arange(len(ids)), where)
             # Each row loses a cell per merge and is filled up to the longest row again.
             ids[row, at] = least[row]
             keep, keep_rank = np.ones(ids.shape, bool), np.ones(rank.shape, bool)
@@ -205,7 +209,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Remembering(codec(path, pattern))
-        for batch in slices(batches):
+        for batch in slices(batches, most=PIECES):
             ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -230,7 +234,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Remembering(codec(path, pattern))
-        for batch in slices(batches):
+        for batch in slices(batches, most=PIECES):
             ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             cols = [[len(x) for x in ids], [x.astype("<u4").tobytes() for x in ids], [encoder.codec.decode(x) for x in ids]]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, cols, [pa.int64(), pa.binary(), pa.binary()])], names=["doc_id", "n_tokens", "ids", "content"])
