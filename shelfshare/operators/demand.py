@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sliding import Band, Trimmed, along_series
+
 
 def robust_demand(df: DataFrame, cap: float = 0.30, outlet: Column | None = None) -> DataFrame:
     """demand = qty + suppressed, where suppressed is delta, at most cap of qty; an outlet's demand is 0; null falls back to qty, then 0."""
@@ -17,16 +19,11 @@ def rolling_trimmed_mean(df: DataFrame, windows: tuple[int, ...] = (90, 180, 270
     """A mean without the extremes for each window of n rows before a row, and the row: `trimmed_<n>`.
 
     A row counts if it lies within its own rolling alpha and 1-alpha quantiles. With fewer than `least` rows it is the plain
-    mean; where nothing counts, the plain mean, then that of the longest window, then 0. Both quantiles come from one call,
-    and all windows share a partition and an order, so there is one shuffle and one sort.
+    mean; where nothing counts, the plain mean, then that of the longest window, then 0. Null values don't count. All windows
+    slide along one shuffled and sorted pass over the series (sliding.along_series).
     """
-    w = {n: Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, 0) for n in windows}
-    out = df.withColumns({f"q_{n}": F.percentile_approx(value, F.array(F.lit(alpha), F.lit(1 - alpha)), F.lit(10_000)).over(w[n]) for n in windows})
-    inside = lambda n: F.col(value).between(F.col(f"q_{n}")[0], F.col(f"q_{n}")[1])
-    trimmed = lambda n: F.when(F.count(value).over(w[n]) < least, F.avg(value).over(w[n])).otherwise(F.avg(F.when(inside(n), F.col(value))).over(w[n]))
-    longest = F.avg(value).over(w[max(windows)])
-    out = out.withColumns({f"trimmed_{n}": F.coalesce(trimmed(n), F.avg(value).over(w[n]), longest, F.lit(0.0)) for n in windows})
-    return out.drop(*[f"q_{n}" for n in windows])
+    rows = tuple(n + 1 for n in windows)
+    return along_series(df, list(keys), order, value, [f"trimmed_{n}" for n in windows], lambda: Trimmed(rows, alpha, 1 - alpha, least))
 
 
 def rolling_mean_rows(df: DataFrame, windows: tuple[int, ...], value: str, keys: tuple[str, ...] = ("grp", "store"), order: str = "day") -> DataFrame:
@@ -46,6 +43,4 @@ def backfill(df: DataFrame, names: list[str], keys: tuple[str, ...] = ("grp", "s
 
 def quantile_band(df: DataFrame, value: str, keys: tuple[str, ...], order: str = "day", rows: int = 179, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """The day's value where it lies in the band of its rolling quantiles, else null: `in_band`."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-rows, 0)
-    band = F.percentile_approx(value, F.array(F.lit(low), F.lit(high)), F.lit(10_000)).over(w)
-    return df.withColumn("band_", band).withColumn("in_band", F.when(F.col(value).between(F.col("band_")[0], F.col("band_")[1]), F.col(value))).drop("band_")
+    return along_series(df, list(keys), order, value, ["in_band"], lambda: Band(rows + 1, low, high))

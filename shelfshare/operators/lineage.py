@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -24,23 +26,59 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
+class Tables:
+    """Tables that one computation writes to the shared folder: the lineage ends there, and lost executors lose nothing."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """df written as Parquet and read again. A table of the same name stays until drop() or the end."""
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Removes tables that nothing will read any more."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove(self.spark, path)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """df computed once and kept in the shared folder for as long as the driver's Python runs, so that two uses see the same rows."""
+    return Tables(df.sparkSession).store(df, name)
+
+
+#: A side is broadcast only when its measured size is below this; beyond it Spark shuffles both sides.
+BROADCAST_BYTES = 16 << 20
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the shared folder, so that two uses see the same rows in the same partitions and lost
-    executors lose nothing."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """df with a broadcast hint if its counted rows fit BROADCAST_BYTES; otherwise as it is. Use on stored tables."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
 def running_total(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
     """df with the sum of value over all rows up to this one in an order that no two rows share.
 
     Rows are dealt out in ranges of the order and summed up within each; a range's total is added to those after it. The
-    ranges are stored first, since the two steps must see the same ones.
+    ranges are stored first, since the two steps must see the same ones: so a job runs when this is called, not only when
+    the result is read.
     """
     ranged = stored(df.withColumn("value_", value).repartitionByRange(*order).withColumn("range_", F.spark_partition_id()))
     before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition

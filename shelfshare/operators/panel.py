@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -53,12 +54,13 @@ def batches(start_month: int, end_month: int, size: int = 3) -> list[tuple[int,
     return [(name(m), name(min(m + size - 1, last))) for m in range(first, last + 1, size)]
 
 
-def backfill(sales: DataFrame, first_month: int, last_month: int, write: Callable[[DataFrame], None], size: int = 3, days: int = 90) -> list[tuple[int, int]]:
-    """Computes the panel batch after batch of whole months and hands each to write, which replaces those months; a batch
-    that is done again gives the same. Each batch reads its own days and those its means look back on."""
+def backfill(sales: DataFrame, first_month: int, last_month: int, write: Callable[[DataFrame, str, str], object], size: int = 3, days: int = 90) -> list[tuple[int, int]]:
+    """Computes the panel batch after batch of whole months and hands each to write, with its first and last day, to replace
+    that period; a batch that is done again gives the same. Each batch reads its own days and those its means look back on."""
     done = batches(first_month, last_month, size)
     for first, last in done:
-        write(period_panel(sales, first, last, days))
+        end = datetime.date(last // 100 + last % 100 // 12, last % 100 % 12 + 1, 1) - datetime.timedelta(1)
+        write(period_panel(sales, first, last, days), f"{first // 100:04d}-{first % 100:02d}-01", end.isoformat())
     return done
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import change_bucket, comma_number, stock_days_bucket
+from .selection import exact_quantile, with_exact_median
 
 KPIS = ("median_cover", "stockout_pct", "lost_pct")
 
@@ -16,12 +17,10 @@ def label_test(df: DataFrame, tested: DataFrame, key: str = "grp") -> DataFrame:
 
 
 def kpis(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Median days of stock, share of stock-out rows in percent, lost revenue in percent of revenue."""
-    return df.groupBy(*keys).agg(
-        F.median("cover").alias("median_cover"),
-        (100 * F.avg("stockout")).alias("stockout_pct"),
-        (100 * F.try_divide(F.sum("lost_revenue"), F.sum("revenue"))).alias("lost_pct"),
-    )
+    """Median days of stock, share of stock-out rows in percent, lost revenue in percent of revenue. The median is exact, however
+    many rows a group has."""
+    sums = df.groupBy(*keys).agg((100 * F.avg("stockout")).alias("stockout_pct"), (100 * F.try_divide(F.sum("lost_revenue"), F.sum("revenue"))).alias("lost_pct"))
+    return with_exact_median(sums, df, keys, "cover", "median_cover").select(*keys, *KPIS)
 
 
 def difference_in_differences(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -37,22 +36,30 @@ def difference_in_differences(df: DataFrame, by: list[str] | None = None) -> Dat
 
 def before_after(df: DataFrame, keys: list[str], value: str, how: str = "sum") -> DataFrame:
     """A value in the baseline and in the pilot, the change and the change in percent."""
-    f = {"sum": F.sum, "avg": F.avg, "median": F.median}[how]
+    if how == "median":  # a row per key, so the two periods' medians can be told apart by max
+        per = exact_quantile(df, [*keys, "period"], value, "value_")
+        f, value, df = F.max, "value_", per
+    else:
+        f = {"sum": F.sum, "avg": F.avg}[how]
     part = lambda p: f(F.when(F.col("period") == p, F.col(value))).alias(p)
     return df.groupBy(*keys).agg(part("baseline"), part("pilot")).withColumn("change", F.col("pilot") - F.col("baseline")).withColumn("change_pct", 100 * F.try_divide("change", "baseline"))
 
 
 def spread_of_medians(df: DataFrame, keys: list[str], value: str = "cover") -> DataFrame:
     """The median per store, then its deviation over the stores, per key."""
-    per = df.groupBy(*keys, "store").agg(F.median(value).alias("median_"))
+    per = exact_quantile(df, [*keys, "store"], value, "median_")
     return per.groupBy(*keys).agg(F.stddev_samp("median_").alias("deviation"), F.count("median_").alias("stores"))
 
 
 def cover_buckets(df: DataFrame, how: str = "median") -> DataFrame:
-    """How many stores have a mean or median cover in each class, per period; classes are columns. approx: a median that is
-    right to a hundredth of the ranks, in bounded memory."""
-    f = {"median": F.median, "mean": F.avg, "approx": lambda c: F.percentile_approx(c, 0.5, 100)}[how]
-    per = df.groupBy("period", "store").agg(f("cover").alias("cover"))
+    """How many stores have a mean or median cover in each class, per period; classes are columns."""
+    keys = ["period", "store"]
+    per = exact_quantile(df, keys, "cover", "cover") if how == "median" else df.groupBy(*keys).agg(F.avg("cover").alias("cover"))
+    return bucket_counts(per)
+
+
+def bucket_counts(per: DataFrame) -> DataFrame:
+    """Rows (period, cover) in each class of cover, per period; classes are columns."""
     classes = ["0-15", "15-30", "30-45", "45-60", "60+", "none"]
     return per.withColumn("bucket", stock_days_bucket(F.col("cover"))).groupBy("period").pivot("bucket", classes).agg(F.count(F.lit(1))).fillna(0)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import share_of_total, with_share
 from .lineage import running_total
+from .selection import exact_quantile
 
 
 def with_total_share(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:
@@ -73,8 +74,9 @@ def moving_mean(df: DataFrame, keys: list[str], value: str, rows: int = 3) -> Da
 
 def dc_store_daily(df: DataFrame) -> DataFrame:
     """Shops and centres per day: sales, stock, lost percent and median cover side by side, with a 3-day mean of sales."""
-    side = lambda is_dc, n: df.where(F.col("is_dc") == F.lit(is_dc)).groupBy("day").agg(F.sum("qty").alias(f"{n}_qty"), F.sum("on_hand").alias(f"{n}_stock"), (100 * F.try_divide(F.sum("lost_revenue"), F.sum("revenue"))).alias(f"{n}_lost_pct"), F.median("cover").alias(f"{n}_cover"))
-    both = side(False, "store").join(side(True, "dc"), "day", "full_outer").withColumn("all_", F.lit(1))
+    side = lambda is_dc, n: df.where(F.col("is_dc") == F.lit(is_dc)).groupBy("day").agg(F.sum("qty").alias(f"{n}_qty"), F.sum("on_hand").alias(f"{n}_stock"), (100 * F.try_divide(F.sum("lost_revenue"), F.sum("revenue"))).alias(f"{n}_lost_pct"))
+    cover = exact_quantile(df, ["day", "is_dc"], "cover", "cover").groupBy("day").agg(F.max(F.when(~F.col("is_dc"), F.col("cover"))).alias("store_cover"), F.max(F.when(F.col("is_dc"), F.col("cover"))).alias("dc_cover"))
+    both = side(False, "store").join(side(True, "dc"), "day", "full_outer").join(cover, "day", "left").withColumn("all_", F.lit(1))
     return moving_mean(both, ["all_"], "store_qty").withColumnRenamed("moving", "store_qty_mean3").drop("all_")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import band_number, in_order
-from ..operators import export, forecast, metrics, panel, pilot, reports, shares
+from ..operators import export, forecast, metrics, panel, pilot, reports, shares, sketches
+from ..operators.lineage import stored
 from . import base as b
 from . import export_plans as e
 from . import pilot_plans as p
@@ -201,9 +202,23 @@ def stock_day_buckets_mean(spark, d):
     return pilot.cover_buckets(b.observed(spark, d), "mean")
 
 
+def _median_sketches(spark, d):
+    """Medians per period and store, merged from a stored table of sketches per store and day."""
+    days = stored(sketches.daily(b.observed(spark, d), ["period", "store", "day"], "cover"), "sketches")
+    return sketches.quantile(sketches.merged(days, ["period", "store"]), "median_cover")
+
+
 @query()
 def stock_day_buckets_approx(spark, d):
-    return pilot.cover_buckets(b.observed(spark, d), "approx")
+    """Classes of approximate medians; stock_day_median_within holds the medians against the exact ranks."""
+    return pilot.bucket_counts(_median_sketches(spark, d).withColumnRenamed("median_cover", "cover"))
+
+
+@query(p._O + "SELECT period, store, count(cover) AS n, true AS within FROM observed WHERE cover IS NOT NULL GROUP BY period, store")
+def stock_day_median_within(spark, d):
+    """The rank of each sketched median among all values of its store lies within the stated error of a half."""
+    found = _median_sketches(spark, d)
+    return sketches.held_against(found, b.observed(spark, d), ["period", "store"], "cover", "median_cover").select("period", "store", "n", "within")
 
 
 @query(f"WITH {b.OBSERVED}, per AS (SELECT period, store, median(cover) AS m FROM observed GROUP BY ALL)--FROM--SELECT period, stddev_samp(m) AS deviation, count(m) AS stores FROM per GROUP BY period", "deviation")

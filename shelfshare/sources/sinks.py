@@ -16,11 +16,6 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def replace_months(df: DataFrame, path: str, month: str = "year_month") -> None:
-    """Only the months that df has are replaced; whole months must be given."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
-
-
 def with_commas(df: DataFrame, columns: list[str], decimals: int = 3) -> DataFrame:
     return df.withColumns({c: comma_number(F.col(c), decimals) for c in columns})
 
@@ -37,8 +32,8 @@ def export_by_key(df: DataFrame, path: str, key: str, most: int, numbers: list[s
 
 
 def single_csv(df: DataFrame, path: str) -> None:
-    """One file with a header, for small reports."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """One file with a header, for small reports; what computes them keeps its tasks."""
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def export_parts(df: DataFrame, path: str, order: list[str], numbers: list[str], most: int = 250_000) -> None:

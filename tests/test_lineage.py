@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfshare import functions as fn
 from shelfshare.operators import export, forecast, lineage, panel, shares
-from shelfshare.sources import sinks
+from shelfshare.sources import sinks, versioned
 
 
 @pytest.fixture
@@ -72,8 +72,8 @@ def test_backfill_is_repeatable(spark, tmp_path):
     sold = spark.createDataFrame(rows, "day date, sku long, store long, mandatory string, on_hand long, qty double, revenue double")
     path = f"file://{tmp_path}/panel"
     for _ in range(2):
-        assert panel.backfill(sold, 202402, 202404, lambda part: sinks.replace_months(part, path), size=2) == [(202402, 202403), (202404, 202404)]
-    got = {r.day: r.mean_qty for r in spark.read.parquet(path).collect()}
+        assert panel.backfill(sold, 202402, 202404, lambda part, start, end: versioned.replace_period(part, path, start, end), size=2) == [(202402, 202403), (202404, 202404)]
+    got = {r.day: r.mean_qty for r in versioned.read(spark, path).collect()}
     assert len(got) == 6 and got[day(2, 3)] == pytest.approx((1 + 1 + 2) / 3)
 
 

@@ -195,10 +195,3 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(r["count"] for r in spark.read.csv(f"file://{tmp_path}/p", sep=";", header=True).groupBy("part").count().collect()) == [2, 5, 5]
     sinks.single_csv(df, f"file://{tmp_path}/s")
     assert len(list((tmp_path / "s").glob("part-*"))) == 1
-
-
-def test_months_are_replaced(spark, tmp_path):
-    path = f"file://{tmp_path}/panel"
-    sinks.replace_months(spark.createDataFrame([(1, 202401), (2, 202402)], "x long, year_month int"), path)
-    sinks.replace_months(spark.createDataFrame([(9, 202402)], "x long, year_month int"), path)
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 202401), (9, 202402)]
