@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
@@ -15,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import Tables, remove, scratch, shared_root, small, stored  # noqa: F401  tables in the shared folder, as the rest of the library keeps them
+
 U64 = np.uint64
 
 
@@ -22,71 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# --- scratch tables -------------------------------------------------------------------------
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, from spark.checkpoint.dir. Where that is unset, a local session (tests) gets a fresh one;
-    on a cluster executors could not see each other's files, so that is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's Python ends."""
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-class Tables:
-    """Tables that one computation writes to the shared folder: the lineage ends there, and lost executors lose nothing."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
-
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        """df written as Parquet and read again. A table of the same name stays until drop() or the end."""
-        path = scratch(self.spark, name)
-        df.write.parquet(path)
-        self.paths.setdefault(name, []).append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Removes tables that nothing will read any more."""
-        for name in names:
-            for path in self.paths.pop(name, []):
-                remove(self.spark, path)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again, for as long as the driver's Python runs."""
-    return Tables(df.sparkSession).store(df, name)
-
-
-#: A side is broadcast only when its measured size is below this; beyond it Spark shuffles both sides.
-BROADCAST_BYTES = 16 << 20
-
-
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows fit BROADCAST_BYTES; otherwise as it is. Use on stored tables."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
 def share_of(key: Column, wanted: int, total: int) -> Column:
     """True for about wanted of total rows, chosen by a hash of key, so that the choice doesn't depend on partitions."""
     return F.lit(True) if total <= wanted else F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit((wanted << 63) // total)

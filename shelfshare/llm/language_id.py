@@ -6,7 +6,6 @@ The model, one log-probability per bucket and language, is small (bounded by buc
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +23,6 @@ SAMPLE = 5_000
 UNKNOWN = "und"
 #: A text fits its language from here on.
 LEAST_FIT = 0.4
-LETTER = re.compile(r"[^\W\d_]")
 CHUNK = 1 << 20
 _letters: list[np.ndarray] = []
 
@@ -35,6 +33,11 @@ def _is_letter() -> np.ndarray:
     return _letters[0]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter, as the n-grams know them: digits and numbers such as a raised two are none."""
+    return any(map(str.isalpha, text))
+
+
 def _buckets(codes: np.ndarray, order: int, buckets: int) -> np.ndarray:
     """The bucket of the n-gram at each place but the last order-1."""
     n = len(codes) - order + 1
@@ -131,7 +134,7 @@ def train(df: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
 
 def _predicted(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     langs, scores, fit = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-    known = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
+    known = [i for i, t in enumerate(texts) if model and t and has_letter(t)]
     if known:
         best, scores[known], fit[known] = model.predict([texts[i] for i in known])
         for i, k in zip(known, best, strict=True):

@@ -25,6 +25,8 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 6, 5, 5
 DAMAGE = 199
 #: Groups of more words are split, as long as the differing part has over two characters.
 GROUP = 4096
+#: Words in groups that a task scans.
+ROWS = 40_000
 #: Bytes of text that are counted at once, and counts that a task holds before it sends them on.
 PIECE_BYTES, HELD = 1 << 20, 1 << 19
 
@@ -247,7 +249,8 @@ def near_words(words: DataFrame, tables: Tables, group: int = GROUP) -> DataFram
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
-    rows = rows.repartition(*KEY).sortWithinPartitions(*KEY)
+    parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // ROWS)  # a row is small, but its scan isn't
+    rows = rows.repartition(parts, *KEY).sortWithinPartitions(*KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out = None, ([], [], []), []

@@ -156,3 +156,14 @@ def test_sharding_by_brute_force(spark):
     null = spark.createDataFrame([(None,), (None,)], "doc_id long")
     assert {r.shard for r in sharding.place(null, "doc_id", names, slots).collect()} == {owner[42 % slots]}
     assert sharding.place(got, "shard", names, slots).columns == ["doc_id", "_slot_of_row", "slot", "shard"]  # the key is replaced too
+
+
+def test_numbers_are_no_letters(spark):
+    model = language_id.train(common.table(spark, "/root/testdata/sf0.001", "documents"), language_id.remainder("doc_id", 4) != 2)
+    texts = ["²", "½ ①", "123", "٣", "Ⅷ", " \n", "", None, "a", "ñ", "12 é"]
+    rows = {r.doc_id: r for r in language_id.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        letters = bool(text) and any(c.isalpha() for c in text)
+        assert (rows[i].lang_pred == "und") is not letters and (letters or (rows[i].score, rows[i].fit) == (0.0, 0.0)), text
+    kept = language_id.keep(spark.createDataFrame(list(enumerate(texts[:8])), "doc_id long, text string"), model)
+    assert kept.count() == 0
