@@ -78,7 +78,12 @@ def keep_rows(df: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarra
         for piece in slices(batches, at):
             yield piece.filter(pa.array(keep(piece.column(at)), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return numbered(df).mapInArrow(run, df.schema)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named by number, for tasks that know them by place: names with dots don't pass mapInArrow."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 # --- hashing --------------------------------------------------------------------------------

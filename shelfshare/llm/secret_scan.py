@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, slices, texts_of
+from .common import map_texts, numbered, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "guess")
 # The base patterns and their least lengths.
@@ -194,13 +194,13 @@ def redact(df: DataFrame, text_col: str = "text", strong: float = STRONG, words:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = dictionary(words)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, at):
             new = [None if t is None else mask(t, find(t, ranks, strong)) for t in batch.column(at).to_pylist()]
             cols = list(batch.columns)
             cols[at] = pa.array(new, batch.schema.types[at])
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
-    return df.mapInArrow(run, df.schema)
+    return numbered(df).mapInArrow(run, df.schema)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:

@@ -31,3 +31,19 @@ def test_quality_and_language_by_row(spark):
     good, bad = (next(text[i] for i in sorted(found) if found[i] == k and text[i]) for k in (1, 0))
     assert texts(spark, [(1, good), (1, bad), (None, bad), (None, good)], p.keep_quality) == [(1, good), (None, good)]
     assert texts(spark, [(1, good), (1, "12 34"), (None, "12 34"), (None, good)], p.keep_languages) == [(1, good), (None, good)]
+
+
+def test_clashing_columns(spark):
+    """Columns with the names that stages might use inside come out as they went in."""
+    docs = table(spark, D, "documents")
+    model = quality.train(docs, table(spark, D, "labels"), remainder("doc_id", 5) != 0)
+    good = [r.doc_id for r in quality.score(docs, model).where("predicted = 1").orderBy("doc_id").limit(6).collect()]
+    rows = docs.where(docs.doc_id.isin(good)).collect()
+    names = ["row_key", "row_key_", "ROW_KEY__", "key", "node", "score", "component_id", "predicted", "lang_pred", "fit", "rank", "spans", "a.b"]
+    df = spark.createDataFrame([(*r, *[f"mine {r.doc_id} {c}" for c in names]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    for name, stage in p.STAGES[:-1]:
+        df = stage(spark, df, D).persist()
+        assert df.columns == [*docs.columns, *names], name
+        got = df.collect()
+        assert got and all(r[c] == f"mine {r.doc_id} {c}" for r in got for c in names), name
+    assert {r.doc_id for r in p.STAGES[-1][1](spark, df, D).collect()} == {r.doc_id for r in got}
