@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import share_of_total
 from . import cleaning, demand
+from .product import Factored
 
 
 def newest(df: DataFrame, day: str = "day") -> DataFrame:
@@ -70,13 +71,22 @@ def fill_matrix(frame: DataFrame, shares: DataFrame, names: list[str], more: lis
     return frame.join(once, ["grp", "store"], "left").select(*(more or []), "store", "sku", "grp", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
 
 
+def fill_factors(stores: DataFrame, skus: DataFrame, shares: DataFrame, names: list[str]) -> Factored:
+    """fill_matrix() of the skeleton, kept as its factors: the shares of every store in every group that has skus, 0 where there
+    are none, and the skus (sku, grp, ...) of each group. A sku without a group is left out; of repeated shares the largest counts."""
+    once = shares.groupBy("grp", "store").agg(*[F.max(n).alias(n) for n in names])
+    frame = skus.select("grp").where("grp is not null").distinct().crossJoin(stores.select("store").distinct())  # a row per group and store, whatever the skus
+    return Factored(frame.join(once, ["grp", "store"], "left").select("grp", "store", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names]), skus.where("grp is not null"))
+
+
 def complete_matrix(panel: DataFrame, skus: DataFrame, centres: DataFrame, stores: DataFrame, as_of: str, keep_month: int, twins: DataFrame | None = None, mirror: DataFrame | None = None, special: Column | None = None, outlet: Column | None = None, windows: tuple[int, ...] = (90, 180, 270, 360), dc_window: int = 90) -> DataFrame:
     """The whole job for one category: from the daily panel (model, store, day, year_month, qty, delta) to a share per store
     and sku (sku, model) for each window.
 
     Stores are mirrored, models become need groups by their twins ('-' and none: the model itself), days are summed up per
-    group, atypical months go, series are clipped, demand is freed of stock-outs, its trimmed means are taken and filled up,
-    and both layers of shares are spread over every store and sku. dc_window is the window that centres are weighed by.
+    group, atypical months go, series are clipped, demand is freed of stock-outs, its trimmed means are taken (which leave no
+    null, so demand.backfill has nothing to do here), and both layers of shares are spread over every store and sku, group by
+    group. dc_window is the window that centres are weighed by.
     """
     named = lambda df: (df.join(twins, "model", "left") if twins is not None else df.withColumn("twin", F.lit(None).cast("string"))).withColumn("grp", F.when(F.coalesce("twin", F.lit("-")) == "-", F.col("model")).otherwise(F.col("twin"))).drop("twin", "model")
     rows = cleaning.mirror_stores(panel, mirror) if mirror is not None else panel
@@ -85,6 +95,7 @@ def complete_matrix(panel: DataFrame, skus: DataFrame, centres: DataFrame, store
     rows = demand.robust_demand(cleaning.winsorise(rows, special=special), outlet=outlet)
     rows = rows.where(F.col("day") <= F.lit(as_of).cast("date"))  # frames look back alone, so later rows need no means
     names = [f"trimmed_{n}" for n in windows]
-    rows = demand.backfill(demand.rolling_trimmed_mean(rows, windows), names).select("grp", "store", "day", *names)
+    rows = demand.rolling_trimmed_mean(rows, windows).select("grp", "store", "day", *names)
     found = layered_share(at_date(rows, as_of), centres, f"trimmed_{dc_window}", names)
-    return fill_matrix(skeleton(stores, named(skus)), found, [f"share_{n}" for n in names])
+    names = [f"share_{n}" for n in names]
+    return fill_factors(stores, named(skus), found, names).expand().select("store", "sku", "grp", *names)

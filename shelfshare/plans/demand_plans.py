@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import need_group, normalised_id, store_code
 from ..operators import cleaning, demand, panel, shares
+from ..operators.lineage import scratch
+from ..operators.product import Factored
 from . import base as b
 from .base import query
 
@@ -135,11 +137,54 @@ def matrix_for_category(spark, d):
     return shares.fill_matrix(shares.skeleton(b.stores(spark, d), skus), final_shares(spark, d, b.WINDOWS), [f"share_trimmed_{n}" for n in b.WINDOWS])
 
 
+_SHARE_NAMES = [f"share_trimmed_{n}" for n in b.WINDOWS]
+_EXPANDED = _SHARES + ", full_matrix AS (SELECT s.category, s.store, s.sku, s.grp, " + ", ".join(f"coalesce({n}, 0.0) AS {n}" for n in _SHARE_NAMES) + " FROM (SELECT p_brand AS category, s_suppkey AS store, p_partkey AS sku, p_type AS grp FROM supplier CROSS JOIN part WHERE p_size % 2 = 0) s LEFT JOIN finals f ON f.grp = s.grp AND f.store = s.store)--FROM--"
+
+
 @query(_SHARES + "--FROM--SELECT s.category, s.store, s.sku, s.grp, " + ", ".join(f"coalesce(share_trimmed_{n}, 0.0) AS share_trimmed_{n}" for n in b.WINDOWS) + " FROM (SELECT p_brand AS category, s_suppkey AS store, p_partkey AS sku, p_type AS grp FROM supplier CROSS JOIN part WHERE p_size % 2 = 0) s LEFT JOIN finals f ON f.grp = s.grp AND f.store = s.store", " ".join(f"share_trimmed_{n}" for n in b.WINDOWS))
 def matrix_full(spark, d):
     """The filled matrix of every category; matrix_for_category has one."""
+    return _matrix_factors(spark, d).expand().select("category", "store", "sku", "grp", *_SHARE_NAMES)
+
+
+def _matrix_factors(spark, d):
+    """The matrix of every category as a table of each group's shares and one of its skus, written and read back."""
     skus = b.read(spark, d, "part").where("p_size % 2 = 0").select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("grp"), F.col("p_brand").alias("category"))
-    return shares.fill_matrix(shares.skeleton(b.stores(spark, d), skus), final_shares(spark, d, b.WINDOWS), [f"share_trimmed_{n}" for n in b.WINDOWS], ["category"])
+    path = scratch(spark, "matrix")
+    shares.fill_factors(b.stores(spark, d), skus, final_shares(spark, d, b.WINDOWS), _SHARE_NAMES).write(path)
+    return Factored.read(spark, path)
+
+
+@query(_EXPANDED + "SELECT sku, category, grp, " + ", ".join(f"sum({n}) AS {n}" for n in _SHARE_NAMES) + ", count(*) AS parts FROM full_matrix GROUP BY sku, category, grp", " ".join(_SHARE_NAMES))
+def matrix_member_totals(spark, d):
+    """The sums per sku, from the factors alone."""
+    return _matrix_factors(spark, d).member_totals(_SHARE_NAMES)
+
+
+@query(_EXPANDED + "SELECT store, " + ", ".join(f"sum({n}) AS {n}" for n in _SHARE_NAMES) + " FROM full_matrix GROUP BY store", " ".join(_SHARE_NAMES))
+def matrix_store_totals(spark, d):
+    return _matrix_factors(spark, d).part_totals(_SHARE_NAMES)
+
+
+@query(_EXPANDED + "SELECT store, round(sum(share_trimmed_90), 9) AS share_trimmed_90 FROM full_matrix GROUP BY store ORDER BY 2 DESC, store LIMIT 25", "share_trimmed_90")
+def matrix_top_stores(spark, d):
+    factors = _matrix_factors(spark, d)
+    rounded = factors.part_totals(["share_trimmed_90"]).withColumn("share_trimmed_90", F.round("share_trimmed_90", 9))
+    return rounded.orderBy(F.desc("share_trimmed_90"), "store").limit(25)
+
+
+@query(_EXPANDED + "SELECT sku, sum(share_trimmed_360) AS share_trimmed_360 FROM full_matrix GROUP BY sku HAVING abs(sum(share_trimmed_360) - 1) > 0.01", "share_trimmed_360")
+def matrix_off_whole(spark, d):
+    """The skus whose shares over all stores aren't 1: those of groups whose stores' centres are unknown in part."""
+    return _matrix_factors(spark, d).off_whole("share_trimmed_360").select("sku", "share_trimmed_360")
+
+
+@query(_EXPANDED + "SELECT category, CAST(store AS VARCHAR) AS store, CAST(sku AS VARCHAR) AS sku, grp, CAST(share_trimmed_90 AS DOUBLE) AS share_trimmed_90 FROM full_matrix", "share_trimmed_90")
+def matrix_export(spark, d):
+    """The files of the expanded matrix, each of a bounded number of rows, read back."""
+    path = scratch(spark, "matrix-export")
+    _matrix_factors(spark, d).export(path, 200_000)
+    return spark.read.csv(path, sep=";", header=True).select("category", "store", "sku", "grp", F.col("share_trimmed_90").cast("double"))
 
 
 @query("SELECT p_partkey AS sku, p_type || '_' || substr(p_name, 1, 3) AS grp FROM part")

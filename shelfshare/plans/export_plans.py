@@ -86,11 +86,15 @@ def file_numbering(spark, d):
     return export.file_numbers(b.channels(spark, d).select("sku", "store", "channel"), "sku", 5000).select("sku", "store", "channel", "file_no")
 
 
-def _forecast(spark, d, channel=None):
+def _factors(spark, d, channel=None):
     s = b.sales(spark, d).where("year(day) = 1998")
     s = s.where(F.col("channel") == channel) if channel else s
     s = s.withColumn("delta", F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")))
-    return forecast.daily_forecast(s, b.matrix(spark, d).select("grp", "store", F.col("new").alias("share")), 365)
+    return forecast.daily_factors(s, b.matrix(spark, d).select("grp", "store", F.col("new").alias("share")), 365)
+
+
+def _forecast(spark, d, channel=None):
+    return forecast.daily_forecast(_factors(spark, d, channel))
 
 
 def _forecast_sql(channel=None, name="fc"):
@@ -110,7 +114,8 @@ def daily_forecast(spark, d):
 
 @query(_daily_sql(), "daily forecast")
 def daily_forecast_full(spark, d):
-    return _forecast(spark, d)
+    """The same by a grid of cells, as where neither side is small."""
+    return forecast.daily_forecast(_factors(spark, d), broadcast_bytes=0)
 
 
 def _consolidation_sql():
@@ -123,11 +128,12 @@ _PARTS = "offline online total offline_part online_part"
 
 @query(_consolidation_sql(), _PARTS)
 def forecast_consolidation(spark, d):
-    return forecast.consolidate(_forecast(spark, d, "OFFLINE"), _forecast(spark, d, "ONLINE"))
+    return forecast.consolidate_factors(_factors(spark, d, "OFFLINE"), _factors(spark, d, "ONLINE"))
 
 
 @query(_consolidation_sql(), _PARTS)
 def forecast_consolidation_full(spark, d):
+    """The same from the rows of both forecasts, wherever they come from."""
     return forecast.consolidate(_forecast(spark, d, "OFFLINE"), _forecast(spark, d, "ONLINE"))
 
 
@@ -140,11 +146,12 @@ _SUMS = "stores_sum sku_daily covered_pct"
 
 @query(_checks_sql(), _SUMS)
 def forecast_checks(spark, d):
-    return forecast.checks(_forecast(spark, d))
+    return forecast.check_factors(_factors(spark, d))
 
 
 @query(_checks_sql(), _SUMS)
 def forecast_checks_full(spark, d):
+    """The same from the rows of the forecast."""
     return forecast.checks(_forecast(spark, d))
 
 

@@ -129,7 +129,7 @@ def test_integrity_report_finds_each_rule(spark):
 def test_percent_shares_are_divided(spark):
     sold = spark.createDataFrame([("g", 1, 60.9, None)], "grp string, sku long, qty double, delta double")
     share = spark.createDataFrame([("g", 1, 25.0), ("g", 2, 75.0)], "grp string, store long, share double")
-    got = {r.store: round(r.forecast, 6) for r in forecast.daily_forecast(sold, share, 71).collect()}
+    got = {r.store: round(r.forecast, 6) for r in forecast.daily_forecast(forecast.daily_factors(sold, share, 71)).collect()}
     assert got == {1: 0.25, 2: 0.75}
 
 
