@@ -48,9 +48,9 @@ def eligibility(df: DataFrame, reference: DataFrame, always: list[int]) -> DataF
     return out.withColumns({"eligible": F.col("dc_").isNotNull() | F.col("store").isin(always), "is_dc": F.col("store").isin(always) | F.coalesce(F.col("dc_") == 1, F.lit(False))}).drop("dc_")
 
 
-def final_export(df: DataFrame, end_date: int) -> DataFrame:
-    """The five columns of the export file."""
-    return df.select(F.col("sku").cast("string").alias("SKU"), F.col("channel").alias("CANAL"), store_code(F.col("store"), F.col("is_dc")).alias("LOJA"), F.lit(end_date).alias("DATA FIM"), F.round("percent", 3).alias("PERCENTUAL"))
+def final_export(df: DataFrame, end_date: int, more: list[str] | None = None) -> DataFrame:
+    """The five columns of the export file, after others that are to be kept."""
+    return df.select(*(more or []), F.col("sku").cast("string").alias("SKU"), F.col("channel").alias("CANAL"), store_code(F.col("store"), F.col("is_dc")).alias("LOJA"), F.lit(end_date).alias("DATA FIM"), F.round("percent", 3).alias("PERCENTUAL"))
 
 
 def file_numbers(df: DataFrame, key: str, most: int) -> DataFrame:

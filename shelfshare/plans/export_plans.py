@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import share_of_total
 from ..operators import cleaning, export, forecast
+from ..operators.lineage import scratch
+from ..sources import export_set
 from . import base as b
 from .base import query
 
@@ -86,6 +88,44 @@ def file_numbering(spark, d):
     return export.file_numbers(b.channels(spark, d).select("sku", "store", "channel"), "sku", 5000).select("sku", "store", "channel", "file_no")
 
 
+_ELIGIBLE = "store % 3 <> 0 OR store IN (14, 30)"
+_SET = f"""WITH {b.CHANNELS}, e0 AS (SELECT brand AS category, sku, store, channel, avg(100 * share) AS share FROM (SELECT c.*, p_brand AS brand FROM channels c JOIN part ON p_partkey = sku) WHERE {_ELIGIBLE} GROUP BY ALL),
+n1 AS (SELECT category, sku, store, channel, coalesce(100 * share / nullif(sum(share) OVER (PARTITION BY category, sku, channel), 0), 0.0) AS part FROM e0),
+n2 AS (SELECT *, row_number() OVER (PARTITION BY category, sku, channel ORDER BY part DESC, store) AS rn, sum(part) OVER (PARTITION BY category, sku, channel) AS total FROM n1),
+n3 AS (SELECT category, sku, store, channel, CAST(round(CASE WHEN rn = 1 THEN part + round(100 - total, 9) ELSE part END, 3) AS DECIMAL(18, 3)) AS part FROM n2),
+n4 AS (SELECT *, row_number() OVER (PARTITION BY category, sku, channel ORDER BY part DESC, store) AS rn, sum(part) OVER (PARTITION BY category, sku, channel) AS total FROM n3),
+n5 AS (SELECT category, CAST(sku AS VARCHAR) AS SKU, channel AS CANAL, CASE WHEN store IN (14, 30) OR store % 10 = 1 THEN '0099_' ELSE '0021_' END || lpad(CAST(store AS VARCHAR), 5, '0') AS LOJA, CASE WHEN rn = 1 THEN part + 100 - total ELSE part END AS percent FROM n4),
+numbered AS (SELECT category, SKU, CAST(floor(coalesce(sum(n) OVER (ORDER BY category, SKU ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 5000) AS INTEGER) AS file_no FROM (SELECT category, SKU, count(*) AS n FROM n5 GROUP BY ALL))--FROM--"""
+
+
+def _export_set(spark, d):
+    """All categories and both channels written as one set of files; its folder."""
+    brands = b.read(spark, d, "part").select(F.col("p_partkey").alias("sku"), F.col("p_brand").alias("category"))
+    rows = b.channels(spark, d).join(brands, "sku")
+    side = lambda c: rows.where(F.col("channel") == c).select("category", "sku", "store", "share")
+    s = b.stores(spark, d).select("store")
+    reference = s.where("store % 3 <> 0").select("store", F.when(F.col("store") % 10 == 1, "CD").otherwise("LOJA").alias("kind"))
+    path = scratch(spark, "export-set")
+    export_set.write(export_set.export_rows(side("OFFLINE"), side("ONLINE"), reference, [14, 30], 19991231), path, 5000)
+    return path
+
+
+@query(_SET + "SELECT category, SKU, CANAL, LOJA, '19991231' AS \"DATA FIM\", replace(printf('%.3f', CAST(percent AS DOUBLE)), '.', ',') AS PERCENTUAL, file_no FROM n5 JOIN numbered USING (category, SKU)")
+def export_job(spark, d):
+    """The export as one job, read back through its manifest."""
+    return export_set.read(spark, _export_set(spark, d))
+
+
+@query(_SET + "SELECT category, file_no, count(*) AS n_rows, sum(percent) AS total, count(DISTINCT SKU) AS skus FROM n5 JOIN numbered USING (category, SKU) GROUP BY category, file_no", "total")
+def export_manifest(spark, d):
+    """Rows, percentages and skus of each file, as the manifest and the files have them."""
+    path = _export_set(spark, d)
+    manifest = spark.read.parquet(f"{path}/manifest").select(F.regexp_extract("file", r"file_no=(\d+)", 1).cast("int").alias("file_no"), "rows", "total", F.regexp_extract("file", r"category=([^/]*)/", 1).alias("folder"))
+    own = manifest.groupBy("folder", "file_no").agg(F.sum("rows").alias("n_rows"), F.sum("total").cast("double").alias("total"))
+    skus = export_set.read(spark, path, check=False).groupBy("category", "file_no").agg(F.count_distinct("SKU").alias("skus"), F.count("*").alias("n_rows"))
+    return own.withColumn("category", F.url_decode(F.url_decode("folder"))).drop("folder").join(skus, ["category", "file_no", "n_rows"]).select("category", "file_no", "n_rows", "total", "skus")
+
+
 def _factors(spark, d, channel=None):
     s = b.sales(spark, d).where("year(day) = 1998")
     s = s.where(F.col("channel") == channel) if channel else s

@@ -9,7 +9,7 @@ from ..functions import period_norm, store_from_code, suffixed, twin_or_model
 from ..operators import cleaning, panel, shares
 from ..operators.lineage import scratch
 from ..operators.selection import with_exact_median
-from ..sources import scans, sinks, versioned
+from ..sources import layout, scans, sinks, versioned
 from . import base as b
 from .base import query
 
@@ -107,11 +107,13 @@ def scan_stores(spark, d):
     return _stores(spark, d)
 
 
-_PLAN = ["CAST(s_suppkey AS STRING) AS store", "CAST(s_nationkey AS STRING) AS dc1", "CAST((s_nationkey + 1) % 30 AS STRING) AS dc2", "s_suppkey % 7 AS days", "s_suppkey % 3 AS loads"]
-_PLANNED = f"SELECT CAST(store AS BIGINT) AS store, CAST(dc1 AS BIGINT) AS dc1, CAST(dc2 AS BIGINT) AS dc2, days, loads FROM {_sql('supplier', _PLAN, 's_suppkey % 9 <> 0')}"
+_WEEK = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+_PLAN = ["CAST(s_suppkey AS STRING) AS store", "CAST(s_nationkey AS STRING) AS dc1", "CAST((s_nationkey + 1) % 30 AS STRING) AS dc2", "s_suppkey % 7 AS days", "s_suppkey % 3 AS loads", "CASE WHEN s_suppkey % 4 > 0 THEN concat('lorry ', CAST(s_suppkey % 4 AS STRING)) END AS lorry", "concat('hours ', CAST(s_suppkey % 5 AS STRING)) AS hours",
+         *[f"CASE WHEN s_suppkey % 8 <> {i} THEN CAST((s_suppkey * {i + 3}) % 10 AS INT) END AS {day}" for i, day in enumerate(_WEEK)]]
+_PLANNED = f"SELECT CAST(store AS BIGINT) AS store, CAST(dc1 AS BIGINT) AS dc1, CAST(dc2 AS BIGINT) AS dc2, days, loads, lorry, hours, {', '.join(_WEEK)} FROM {_sql('supplier', _PLAN, 's_suppkey % 9 <> 0')}"
 
 
-@query(f"WITH st AS ({_STORES}), pl AS ({_PLANNED}), ce AS ({_CENTRES})--FROM--SELECT st.store, st.name, st.state, st.band, st.kind, st.region, pl.dc1, pl.dc2, days, loads, a.name AS dc1_name, a.place AS dc1_place, c.name AS dc2_name, c.place AS dc2_place FROM st LEFT JOIN pl USING (store) LEFT JOIN ce a ON a.dc = pl.dc1 LEFT JOIN ce c ON c.dc = pl.dc2")
+@query(f"WITH st AS ({_STORES}), pl AS ({_PLANNED}), ce AS ({_CENTRES})--FROM--SELECT st.store, st.name, st.state, st.band, st.kind, st.region, pl.dc1, pl.dc2, days, loads, lorry, hours, {', '.join(_WEEK)}, a.name AS dc1_name, a.place AS dc1_place, c.name AS dc2_name, c.place AS dc2_place FROM st LEFT JOIN pl USING (store) LEFT JOIN ce a ON a.dc = pl.dc1 LEFT JOIN ce c ON c.dc = pl.dc2")
 def scan_supply_map(spark, d):
     """Stores with the names of the centres that supply them; some have no plan, some a centre that isn't known."""
     raw = _raw(spark, d, "supplier", _PLAN, "s_suppkey % 9 <> 0")
@@ -129,6 +131,29 @@ def newest_rows(spark, d):
     return shares.newest(b.sales(spark, d).select("sku", "store", "day", "qty"))
 
 
+@query(f"WITH {b.SALES}--FROM--SELECT sku, store, day, qty FROM sales WHERE day = (SELECT max(day) FROM sales)")
+def newest_rows_by_day(spark, d):
+    """The newest day of a table that is laid out by day: one folder is scanned."""
+    path = scratch(spark, "by-day")
+    layout.write(b.sales(spark, d).select("sku", "store", "day", "qty"), path, ["sku"])
+    return layout.newest(spark, path).select("sku", "store", "day", "qty")
+
+
+@query(f"SELECT DISTINCT CAST(sku AS BIGINT) AS sku FROM (SELECT *, max(day) OVER () AS last FROM {_sql('lineitem', _STOCK)}) WHERE day = last AND (mandatory = 'S' OR suggested = 1)")
+def managed_skus_by_day(spark, d):
+    path = scratch(spark, "stock-by-day")
+    layout.write(_raw(spark, d, "lineitem", _STOCK), path, ["sku"])
+    return scans.managed(layout.newest(spark, path)).select(F.col("sku").cast("long").alias("sku"))
+
+
+@query(f"WITH {b.PANEL}--FROM--SELECT grp AS category, store, day, year_month, qty, coalesce(delta, 0.0) AS delta FROM panel WHERE grp = 'PROMO' AND day >= DATE '1998-01-01'")
+def base_panel_by_day(spark, d):
+    """A category's rows from a day on: older folders aren't opened, other categories' row groups are passed over."""
+    path = scratch(spark, "panel-by-day")
+    layout.write(b.panel(spark, d).withColumnRenamed("grp", "category").drop("year_month"), path, ["category"])
+    return scans.base_panel(layout.since(spark, path, "1998-01-01"), "PROMO", "1998-01-01", ["delta"]).select("category", "store", "day", "year_month", "qty", "delta")
+
+
 _TWIN = "CASE WHEN p_size % 4 = 0 THEN '-' WHEN p_size % 4 = 1 THEN NULL ELSE concat('twin ', p_brand) END"
 
 

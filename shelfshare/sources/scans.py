@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..functions import number_from_comma
 from ..operators.cleaning import one_row_per
 
+WEEK = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 MIRROR = StructType([StructField("reference", LongType()), StructField("mirrored", LongType())])
 
 
@@ -52,8 +53,10 @@ def stores(raw: DataFrame) -> DataFrame:
 
 
 def supply_plan(raw: DataFrame) -> DataFrame:
-    rows = raw.select(F.col("store").cast("long").alias("store"), F.col("dc1").cast("long").alias("dc1"), F.col("dc2").cast("long").alias("dc2"), "days", "loads")
-    return one_row_per(rows, ["store"], [F.asc_nulls_last(c) for c in ("dc1", "dc2", "days", "loads")])
+    """store, both centres, days of travel, loads a day, the lorry's size, the hour group and the loads of each weekday; one row per store."""
+    more = ["days", "loads", "lorry", "hours", *WEEK]
+    rows = raw.select(F.col("store").cast("long").alias("store"), F.col("dc1").cast("long").alias("dc1"), F.col("dc2").cast("long").alias("dc2"), *more)
+    return one_row_per(rows, ["store"], [F.asc_nulls_last(c) for c in ("dc1", "dc2", *more)])
 
 
 def supply_map(store: DataFrame, plan: DataFrame, centre: DataFrame) -> DataFrame:
@@ -114,7 +117,11 @@ def extra_shipments(raw: DataFrame, groups: DataFrame) -> DataFrame:
 
 def managed_skus(raw: DataFrame) -> DataFrame:
     """Skus that are mandatory or suggested at the newest day."""
-    last = raw.join(F.broadcast(raw.agg(F.max("day").alias("day"))), "day", "left_semi")  # one row
+    return managed(raw.join(F.broadcast(raw.agg(F.max("day").alias("day"))), "day", "left_semi"))  # one row
+
+
+def managed(last: DataFrame) -> DataFrame:
+    """The same of rows that are those of the newest day already; a table laid out by day has them in one folder (layout.newest)."""
     return last.where((F.col("mandatory") == "S") | (F.col("suggested") == 1)).select("sku").distinct()
 
 
