@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import share_of_total, with_share
+from . import bitmaps
 from .lineage import running_total
 from .selection import exact_quantile
 
@@ -32,7 +33,10 @@ def top_items(df: DataFrame, top_keys: DataFrame, key: str, item: str) -> DataFr
 
 def revenue_by(df: DataFrame, key: str) -> DataFrame:
     """Revenue per key, its share, and revenue per sku and store."""
-    per = df.groupBy(key).agg(F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"), F.count_distinct("sku").alias("skus"), F.count_distinct("store").alias("stores"))
+    per = df.groupBy(key).agg(F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"))
+    for column, name in (("sku", "skus"), ("store", "stores")):  # each a bitmap, so no row is multiplied
+        found = bitmaps.counts(bitmaps.daily(df, [key], column), [key], name).withColumnRenamed(key, "key_")
+        per = per.join(found, per[key].eqNullSafe(found["key_"]), "left").drop("key_").fillna(0, [name])
     return with_total_share(per, "revenue").withColumns({"per_sku": F.try_divide("revenue", "skus"), "per_store": F.try_divide("revenue", "stores")})
 
 

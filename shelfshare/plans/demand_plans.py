@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import need_group, normalised_id, store_code
-from ..operators import cleaning, demand, panel, shares
-from ..operators.lineage import scratch
+from ..operators import cleaning, demand, panel, shares, sparse
+from ..operators.lineage import scratch, stored
 from ..operators.product import Factored
 from . import base as b
 from .base import query
@@ -75,14 +75,38 @@ def integrity_backfill(spark, d):
     return demand.backfill(b.panel(spark, d), ["delta"]).select("grp", "store", "day", "delta")
 
 
-@query(f"""WITH {b.SALES}, daily AS (SELECT grp, store, day, sum(qty) AS qty, sum(revenue) AS revenue FROM sales WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY ALL),
+_DENSE = f"""WITH {b.SALES}, daily AS (SELECT grp, store, day, sum(qty) AS qty, sum(revenue) AS revenue FROM sales WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY ALL),
 days AS (SELECT CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS DATE) AS day)--FROM--SELECT k.grp, k.store, days.day, coalesce(qty, 0.0) AS qty, coalesce(revenue, 0.0) AS revenue, CASE WHEN qty IS NULL THEN 0 ELSE 1 END AS sold
-FROM (SELECT DISTINCT grp, store FROM daily) k CROSS JOIN days LEFT JOIN daily USING (grp, store, day)""", "revenue")
+FROM (SELECT DISTINCT grp, store FROM daily) k CROSS JOIN days LEFT JOIN daily USING (grp, store, day)"""
+
+
+@query(_DENSE, "revenue")
 def dense_sales_panel(spark, d):
     year = b.sales(spark, d).where("day between '1998-01-01' and '1998-12-31'")
     return panel.dense_panel(panel.daily_sales(year, ("grp", "store", "day")), ["grp", "store"], "1998-01-01", "1998-12-31")
 
 
+def _sparse_year(spark, d):
+    year = b.sales(spark, d).where("day between '1998-01-01' and '1998-12-31'")
+    return sparse.runs(panel.daily_sales(year, ("grp", "store", "day")), ["grp", "store"], ["qty", "revenue"], "1998-12-31")
+
+
+@query(_DENSE, "revenue")
+def dense_from_runs(spark, d):
+    """The dense panel spread out from its runs, which have a row per day with sales."""
+    return sparse.dense(_sparse_year(spark, d), ["grp", "store"], ["qty", "revenue"], "1998-01-01").withColumn("sold", F.col("sold").cast("int"))
+
+
+@query(_DENSE.replace("--FROM--", ", dense AS (") + """), rolled AS (SELECT *, avg(qty) OVER w AS mean_qty, avg(revenue) OVER w AS mean_revenue, avg(sold) OVER w AS coverage FROM dense WINDOW w AS (PARTITION BY grp, store ORDER BY day ROWS BETWEEN 89 PRECEDING AND CURRENT ROW))--FROM--
+SELECT grp, store, day, mean_qty, mean_revenue, coverage FROM rolled WHERE day = last_day(day)""", "mean_qty mean_revenue coverage")
+def dense_means_from_runs(spark, d):
+    """Means over the last 90 days at each month's end, zero days included, without the dense panel."""
+    runs, keys = stored(_sparse_year(spark, d), "runs"), ["grp", "store"]
+    months = F.explode(F.sequence(F.lit("1998-01-01").cast("date"), F.lit("1998-12-01").cast("date"), F.expr("interval 1 month")))
+    asked = runs.select(*keys).distinct().select(*keys, F.last_day(months).alias("day"))
+    return sparse.over_last_days(runs, asked, keys, ["qty", "revenue"], 90, "1998-01-01")
+
+
 @query(f"""WITH {b.SALES}, days AS (SELECT CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-03-31', INTERVAL 1 DAY)) AS DATE) AS day), seen AS (SELECT DISTINCT day AS day, 1 AS seen FROM sales),
 t AS (SELECT count(*) AS weekdays, count(seen) AS present FROM days LEFT JOIN seen USING (day) WHERE isodow(day) < 6)--FROM--SELECT weekdays, present, present / weekdays AS share, CASE WHEN present / weekdays >= 0.8 THEN 1 ELSE 0 END AS loaded FROM t""", "share")
 def coverage_check(spark, d):

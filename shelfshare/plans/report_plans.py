@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import share_of_total, smape, with_share
-from ..operators import reports
+from ..operators import bitmaps, reports
+from ..operators.lineage import stored
 from . import base as b
 from .base import query
 
@@ -32,6 +33,19 @@ def revenue_by_group(spark, d):
     return reports.revenue_by(b.sales(spark, d), "grp").select("grp", "revenue", "qty", "skus", "stores", "share_pct", "per_sku", "per_store")
 
 
+@query(_S + "SELECT grp, year(day) AS year, count(DISTINCT sku) AS skus, count(DISTINCT store) AS stores, count(DISTINCT brand) AS brands FROM sales GROUP BY ALL")
+def distinct_by_period(spark, d):
+    """Distinct skus, stores and brands per year, from bitmaps that were stored per day."""
+    s, keys = b.sales(spark, d), ["grp", "year"]
+    names = stored(bitmaps.numbers(s, "brand"), "brand-numbers")
+    out = None
+    for column, name, codes in (("sku", "skus", None), ("store", "stores", None), ("brand", "brands", names)):
+        days = stored(bitmaps.daily(s, ["grp", "day"], column, codes), "bitmaps")
+        found = bitmaps.counts(bitmaps.merged(days.withColumn("year", F.year("day").cast("long")), keys), keys, name)
+        out = found if out is None else out.join(found, keys)
+    return out
+
+
 @query(_S + "SELECT brand, sum(revenue) AS revenue, 100 * sum(revenue) / sum(sum(revenue)) OVER () AS share_pct FROM sales GROUP BY brand ORDER BY revenue DESC, brand LIMIT 3", "revenue share_pct", 3)
 def revenue_by_brand(spark, d):
     per = b.sales(spark, d).groupBy("brand").agg(F.sum("revenue").alias("revenue"))

@@ -9,7 +9,7 @@ from ..functions import period_norm, store_from_code, suffixed, twin_or_model
 from ..operators import cleaning, panel, shares
 from ..operators.lineage import scratch
 from ..operators.selection import with_exact_median
-from ..sources import layout, scans, sinks, versioned
+from ..sources import checked, layout, scans, sinks, versioned
 from . import base as b
 from .base import query
 
@@ -213,6 +213,41 @@ def incumbent_mean_median(spark, d):
     return with_exact_median(found.groupBy("store").agg(F.avg("share").alias("mean_share")), found, ["store"], "share", "median_share")
 
 
+#: The incumbent matrix with damaged lines: store codes without a number, no sku, half lines.
+_HARM = "CASE WHEN p_partkey % 97 = 0 THEN 'short' WHEN p_partkey % 89 = 0 THEN 'sku' WHEN s_suppkey % 41 = 0 THEN 'store' END"
+_FIELDS = [checked.Field("CODIGO", "sku", checked.whole_number, True), checked.Field("CODIGO_FILIAL", "store", lambda text: F.regexp_extract(text, r"(\d+)$", 1).try_cast("long"), True), checked.Field("PERCENTUAL_MATRIZ", "share", checked.comma_decimal), checked.Field("CANAL", "channel"), checked.Field("TIPO_FILIAL", "kind")]
+
+
+def _damaged_csv(spark: SparkSession, d: str) -> str:
+    """Two files with a header each, and one without."""
+    path = scratch(spark, "damaged")
+    pairs = b.read(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
+    rows = pairs.selectExpr(*_INCUMBENT, f"{_HARM} AS harm", "p_partkey % 3 AS third")
+    rows = rows.withColumns({"CODIGO": F.when(F.col("harm") == "sku", "").otherwise(F.col("CODIGO")), "CODIGO_FILIAL": F.when(F.col("harm") == "store", "no code").otherwise(F.col("CODIGO_FILIAL"))})
+    whole = F.concat_ws(";", "CODIGO", "CODIGO_FILIAL", "PERCENTUAL_MATRIZ", "CANAL", "TIPO_FILIAL")
+    lines = rows.select("third", F.when(F.col("harm") == "short", F.concat_ws(";", "CODIGO", "CODIGO_FILIAL")).otherwise(whole).alias("value"))
+    header = spark.createDataFrame([(";".join(f.source for f in _FIELDS),)], "value string")
+    for third in (0, 1):
+        header.coalesce(1).union(lines.where(F.col("third") == third).select("value").coalesce(1)).coalesce(1).write.mode("append").text(path)
+    lines.where("third = 2").select("value").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+_DAMAGED_LINES = f"(SELECT *, {_HARM} AS harm, p_partkey % 3 AS third FROM (SELECT DISTINCT l_partkey AS p_partkey, l_suppkey AS s_suppkey FROM lineitem))"
+
+
+@query(f"SELECT p_partkey AS sku, s_suppkey AS store, {_SHARE} AS share, CASE WHEN p_partkey % 3 = 0 THEN 'ONLINE' ELSE 'OFFLINE' END AS channel, CASE WHEN s_suppkey % 10 = 0 THEN 'CD' ELSE 'LOJA' END AS kind FROM {_DAMAGED_LINES} WHERE harm IS NULL AND third < 2 AND {_K} <> 5", "share")
+def read_damaged_good(spark, d):
+    """The good rows of files with damaged lines."""
+    return checked.split(spark, _damaged_csv(spark, d), _FIELDS)[0]
+
+
+@query(f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN third = 2 THEN 'header' WHEN harm = 'short' THEN 'columns' WHEN harm = 'sku' THEN 'missing: CODIGO' WHEN harm = 'store' THEN 'value: CODIGO_FILIAL' ELSE 'value: PERCENTUAL_MATRIZ' END AS reason FROM {_DAMAGED_LINES} WHERE harm IS NOT NULL OR third = 2 OR {_K} = 5) GROUP BY reason")
+def read_damaged_rejected(spark, d):
+    """How many lines of the same files are rejected for each reason."""
+    return checked.split(spark, _damaged_csv(spark, d), _FIELDS)[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
 _SHIPPED = ["CASE WHEN l_linestatus = 'O' THEN 'TELAS' ELSE 'LEVES' END AS DIRETORIA", "concat('kind ', CAST(l_linenumber AS STRING)) AS TIPO_DE_PEDIDO", "concat(' ', CAST(CAST(l_quantity AS BIGINT) AS STRING), ' un.') AS QUANTIDADE_PEDIDA"]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import small
 from .versioned import _Files
 
 DAY = "day"
@@ -47,4 +48,4 @@ def since(spark: SparkSession, path: str, start: str, end: str | None = None) ->
 
 def of_days(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """The rows of the days that another table lists; its filters prune folders when the join runs."""
-    return read(spark, path).join(wanted.select(DAY).distinct(), DAY, "left_semi")
+    return read(spark, path).join(small(wanted.select(DAY).distinct(), 8), DAY, "left_semi")
