@@ -103,7 +103,7 @@ def dense_means_from_runs(spark, d):
     """Means over the last 90 days at each month's end, zero days included, without the dense panel."""
     runs, keys = stored(_sparse_year(spark, d), "runs"), ["grp", "store"]
     months = F.explode(F.sequence(F.lit("1998-01-01").cast("date"), F.lit("1998-12-01").cast("date"), F.expr("interval 1 month")))
-    asked = runs.select(*keys).distinct().select(*keys, F.last_day(months).alias("day"))
+    asked = runs.select(*keys).distinct().select(*keys, months.alias("month")).select(*keys, F.last_day("month").alias("day"))
     return sparse.over_last_days(runs, asked, keys, ["qty", "revenue"], 90, "1998-01-01")
 
 
