@@ -197,10 +197,11 @@ def matrix_top_stores(spark, d):
     return rounded.orderBy(F.desc("share_trimmed_90"), "store").limit(25)
 
 
-@query(_EXPANDED + "SELECT sku, sum(share_trimmed_360) AS share_trimmed_360 FROM full_matrix GROUP BY sku HAVING abs(sum(share_trimmed_360) - 1) > 0.01", "share_trimmed_360")
+@query(_EXPANDED + "SELECT sku, sum(share_trimmed_360) AS share_trimmed_360 FROM full_matrix WHERE store % 17 <> 0 OR grp IN ('PROMO', 'SMALL') GROUP BY sku HAVING abs(sum(share_trimmed_360) - 1) > 0.01", "share_trimmed_360")
 def matrix_off_whole(spark, d):
-    """The skus whose shares over all stores aren't 1: those of groups whose stores' centres are unknown in part."""
-    return _matrix_factors(spark, d).off_whole("share_trimmed_360").select("sku", "share_trimmed_360")
+    """The skus whose shares over all stores aren't 1, after some groups have lost stores."""
+    whole = _matrix_factors(spark, d)
+    return Factored(whole.parts.where("store % 17 <> 0 OR grp IN ('PROMO', 'SMALL')"), whole.members).off_whole("share_trimmed_360").select("sku", "share_trimmed_360")
 
 
 @query(_EXPANDED + "SELECT category, CAST(store AS VARCHAR) AS store, CAST(sku AS VARCHAR) AS sku, grp, CAST(share_trimmed_90 AS DOUBLE) AS share_trimmed_90 FROM full_matrix", "share_trimmed_90")

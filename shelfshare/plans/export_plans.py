@@ -89,7 +89,7 @@ def file_numbering(spark, d):
 
 
 _ELIGIBLE = "store % 3 <> 0 OR store IN (14, 30)"
-_SET = f"""WITH {b.CHANNELS}, e0 AS (SELECT brand AS category, sku, store, channel, avg(100 * share) AS share FROM (SELECT c.*, p_brand AS brand FROM channels c JOIN part ON p_partkey = sku) WHERE {_ELIGIBLE} GROUP BY ALL),
+_SET = f"""WITH {b.CHANNELS}, e0 AS (SELECT brand AS category, sku, store, channel, avg(100 * qty) AS share FROM (SELECT c.*, p_brand AS brand FROM channels c JOIN part ON p_partkey = sku) WHERE {_ELIGIBLE} GROUP BY ALL),
 n1 AS (SELECT category, sku, store, channel, coalesce(100 * share / nullif(sum(share) OVER (PARTITION BY category, sku, channel), 0), 0.0) AS part FROM e0),
 n2 AS (SELECT *, row_number() OVER (PARTITION BY category, sku, channel ORDER BY part DESC, store) AS rn, sum(part) OVER (PARTITION BY category, sku, channel) AS total FROM n1),
 n3 AS (SELECT category, sku, store, channel, CAST(round(CASE WHEN rn = 1 THEN part + round(100 - total, 9) ELSE part END, 3) AS DECIMAL(18, 3)) AS part FROM n2),
@@ -99,10 +99,11 @@ numbered AS (SELECT category, SKU, CAST(floor(coalesce(sum(n) OVER (ORDER BY cat
 
 
 def _export_set(spark, d):
-    """All categories and both channels written as one set of files; its folder."""
+    """All categories and both channels written as one set of files; its folder. Pieces stand for shares, as they are scaled
+    to 100 anyway and their sums are exact."""
     brands = b.read(spark, d, "part").select(F.col("p_partkey").alias("sku"), F.col("p_brand").alias("category"))
     rows = b.channels(spark, d).join(brands, "sku")
-    side = lambda c: rows.where(F.col("channel") == c).select("category", "sku", "store", "share")
+    side = lambda c: rows.where(F.col("channel") == c).select("category", "sku", "store", F.col("qty").alias("share"))
     s = b.stores(spark, d).select("store")
     reference = s.where("store % 3 <> 0").select("store", F.when(F.col("store") % 10 == 1, "CD").otherwise("LOJA").alias("kind"))
     path = scratch(spark, "export-set")
