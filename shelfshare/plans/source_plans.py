@@ -141,8 +141,9 @@ def newest_rows_by_day(spark, d):
 
 @query(f"SELECT DISTINCT CAST(sku AS BIGINT) AS sku FROM (SELECT *, max(day) OVER () AS last FROM {_sql('lineitem', _STOCK)}) WHERE day = last AND (mandatory = 'S' OR suggested = 1)")
 def managed_skus_by_day(spark, d):
+    """The same from a table by month, of which the newest folder alone is looked through."""
     path = scratch(spark, "stock-by-day")
-    layout.write(_raw(spark, d, "lineitem", _STOCK), path, ["sku"])
+    layout.write(_raw(spark, d, "lineitem", _STOCK), path, ["sku"], by=layout.MONTH)
     return scans.managed(layout.newest(spark, path)).select(F.col("sku").cast("long").alias("sku"))
 
 
@@ -150,7 +151,7 @@ def managed_skus_by_day(spark, d):
 def base_panel_by_day(spark, d):
     """A category's rows from a day on: older folders aren't opened, other categories' row groups are passed over."""
     path = scratch(spark, "panel-by-day")
-    layout.write(b.panel(spark, d).withColumnRenamed("grp", "category").drop("year_month"), path, ["category"])
+    layout.write(b.panel(spark, d).withColumnRenamed("grp", "category").drop("year_month"), path, ["category"], by=layout.MONTH)
     return scans.base_panel(layout.since(spark, path, "1998-01-01"), "PROMO", "1998-01-01", ["delta"]).select("category", "store", "day", "year_month", "qty", "delta")
 
 

@@ -54,7 +54,7 @@ def test_a_join_prunes_folders(spark, path):
 
 
 def test_days_are_replaced_as_wholes(spark, path):
-    layout.write(spark.createDataFrame([(DAY, "z", 1)], "day date, category string, x long"), path, ["category"], files_per_day=3)
+    layout.write(spark.createDataFrame([(DAY, "z", 1)], "day date, category string, x long"), path, ["category"], files=3)
     assert [tuple(r) for r in layout.since(spark, path, "2024-03-01", "2024-03-01").select("category", "x").collect()] == [("z", 1)]
     assert layout.read(spark, path).count() == 5 * 12 + 1
     with pytest.raises(Exception, match="a row has no day"):
@@ -64,3 +64,15 @@ def test_days_are_replaced_as_wholes(spark, path):
 def test_rows_of_a_category_lie_together(spark, path):
     order = [r.category for r in layout.newest(spark, path).select("category", F.monotonically_increasing_id().alias("n")).orderBy("n").collect()]
     assert order == sorted(order)
+
+
+def test_months(spark, tmp_path):
+    where = f"file://{tmp_path}/m"
+    rows = [(DAY + datetime.timedelta(d), c, d) for d in range(0, 90, 7) for c in "ab"]
+    layout.write(spark.createDataFrame(rows, "day date, category string, x long"), where, ["category"], by=layout.MONTH)
+    got = layout.newest(spark, where)
+    assert got.columns == ["day", "category", "x"] and sorted(r.x for r in got.collect()) == [84, 84]
+    assert "PartitionFilters: [isnotnull(month_" in plan(got) and "2024-05" in plan(got)
+    part = layout.since(spark, where, "2024-03-20", "2024-04-10")
+    assert sorted({(r.day - DAY).days for r in part.collect()}) == [21, 28, 35] and "PartitionFilters: [isnotnull(month_" in plan(part)
+    assert layout.read(spark, where).count() == len(rows)
