@@ -150,11 +150,12 @@ def forecast_checks_damaged(spark, d):
     return forecast.checks(rows.unionByName(again))
 
 
-@query(_FC.split(", twice AS")[0] + "--FROM--SELECT category, grp, sku, store, max(daily) AS daily, sum(forecast) AS forecast FROM (SELECT 'a' AS category, * FROM fc WHERE grp = 'PROMO' UNION ALL SELECT 'b', * FROM fc WHERE grp = 'SMALL' UNION ALL SELECT 'b', * FROM fc WHERE grp = 'SMALL' AND store % 2 = 0) GROUP BY ALL", "daily forecast")
+@query(_FC.split(", twice AS")[0] + "--FROM--SELECT category, grp, sku, store, max(daily) AS daily, sum(forecast) AS forecast FROM (SELECT 'a' AS category, * FROM fc WHERE grp IN ('PROMO', 'LARGE', 'MEDIUM') UNION ALL SELECT 'b', * FROM fc WHERE grp NOT IN ('PROMO', 'LARGE', 'MEDIUM') UNION ALL SELECT 'b', * FROM fc WHERE grp NOT IN ('PROMO', 'LARGE', 'MEDIUM') AND store % 2 = 0) GROUP BY ALL", "daily forecast")
 def forecast_categories(spark, d):
-    rows = e._forecast(spark, d)
-    small = rows.where("grp = 'SMALL'")
-    return forecast.union_categories({"a": rows.where("grp = 'PROMO'"), "b": small.unionByName(small.where("store % 2 = 0"))})
+    """All groups in two categories; some rows of one are there twice."""
+    rows, own = e._forecast(spark, d), F.col("grp").isin("PROMO", "LARGE", "MEDIUM")
+    other = rows.where(~own)
+    return forecast.union_categories({"a": rows.where(own), "b": other.unionByName(other.where("store % 2 = 0"))})
 
 
 @query(e._CSHARE + """, pl AS (SELECT s_suppkey AS store, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey % 12 END AS delivery FROM supplier WHERE s_suppkey % 4 <> 0), w AS (SELECT grp, store, dc, 0.735 * coalesce(sum(share) FILTER (WHERE channel = 'OFFLINE'), 0.0) + 0.265 * coalesce(sum(share) FILTER (WHERE channel = 'ONLINE'), 0.0) AS share FROM cs GROUP BY ALL)--FROM--

@@ -127,10 +127,14 @@ def export_manifest(spark, d):
     return own.withColumn("category", F.url_decode(F.url_decode("folder"))).drop("folder").join(skus, ["category", "file_no", "n_rows"]).select("category", "file_no", "n_rows", "total", "skus")
 
 
-def _factors(spark, d, channel=None):
+def _sold_1998(spark, d):
     s = b.sales(spark, d).where("year(day) = 1998")
+    return s.withColumn("delta", F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")))
+
+
+def _factors(spark, d, channel=None):
+    s = _sold_1998(spark, d)
     s = s.where(F.col("channel") == channel) if channel else s
-    s = s.withColumn("delta", F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand")))
     return forecast.daily_factors(s, b.matrix(spark, d).select("grp", "store", F.col("new").alias("share")), 365)
 
 
@@ -153,6 +157,13 @@ def daily_forecast(spark, d):
     return _forecast(spark, d)
 
 
+@query(_daily_sql().replace("round(m.new, 6)", "round(100 * m.new / 100, 6)"), "daily forecast")
+def daily_forecast_percent(spark, d):
+    """The same from shares in percent, which is told from values above 1."""
+    percent = b.matrix(spark, d).select("grp", "store", (100 * F.col("new")).alias("share"))
+    return forecast.daily_forecast(forecast.daily_factors(_sold_1998(spark, d), percent, 365))
+
+
 @query(_daily_sql(), "daily forecast")
 def daily_forecast_full(spark, d):
     """The same by a grid of cells, as where neither side is small."""
