@@ -33,3 +33,12 @@ def test_large_products_have_bounded_tasks(spark, monkeypatch):
     monkeypatch.setattr("shelfshare.operators.product.MOST_PER_TASK", 50_000)
     left, right = spark.range(1000).select(F.lit(1).alias("k"), "id"), spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("other"))
     assert product_join(left, right, ["k"]).rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism  # not 10,000
+
+
+def test_exports_can_be_compressed(spark, tmp_path):
+    f = factors(spark)
+    rows = lambda df: sorted(tuple(r) for r in df.select("grp", "sku", "store", "daily", "share").collect())
+    f.export(f"file://{tmp_path}/z", 3, "gzip")
+    assert list((tmp_path / "z").glob("part-*.csv.gz")) and not list((tmp_path / "z").glob("part-*.csv"))
+    want = [tuple(str(x) for x in r) for r in rows(f.expand())]
+    assert rows(spark.read.csv(f"file://{tmp_path}/z", sep=";", header=True)) == sorted(want)
