@@ -35,6 +35,15 @@ def test_large_products_have_bounded_tasks(spark, monkeypatch):
     assert product_join(left, right, ["k"]).rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism  # not 10,000
 
 
+def test_percentages_of_many_stores(spark):
+    """Each below 1, as there are many stores; together they are 100."""
+    sold = spark.createDataFrame([("g", 10, 7.0, None)], "grp string, sku long, qty double, delta double")
+    percent = spark.range(200).select(F.lit("g").alias("grp"), F.col("id").alias("store"), F.lit(0.5).alias("share"))
+    assert {r.share for r in forecast.daily_factors(sold, percent, 7).parts.collect()} == {0.005}
+    fractions = percent.withColumn("share", F.col("share") / 100)
+    assert {r.share for r in forecast.daily_factors(sold, fractions, 7).parts.collect()} == {0.005}
+
+
 def test_exports_can_be_compressed(spark, tmp_path):
     f = factors(spark)
     rows = lambda df: sorted(tuple(r) for r in df.select("grp", "sku", "store", "daily", "share").collect())
