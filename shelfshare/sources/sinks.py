@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import comma_number
@@ -31,9 +31,17 @@ def export_by_key(df: DataFrame, path: str, key: str, most: int, numbers: list[s
     with_commas(numbered, numbers).write.mode("overwrite").partitionBy("file_no").csv(path, sep=";", header=True)
 
 
+def plain_number(value: Column) -> Column:
+    """A double as text without an exponent where it has up to 29 digits before the point: 12345678.0, not 1.2345678E7."""
+    digits = F.regexp_replace(value.try_cast("decimal(38,9)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when((F.abs(value) >= 1e7) & (F.abs(value) < 1e29), digits).otherwise(value.cast("string"))
+
+
 def single_csv(df: DataFrame, path: str) -> None:
-    """One file with a header, for small reports; what computes them keeps its tasks."""
-    df.repartition(1).write.mode("overwrite").csv(path, header=True)
+    """One file with a header, for small reports; what computes them keeps its tasks. Large numbers are written out, without
+    a power of ten."""
+    floats = [c for c, kind in df.dtypes if kind in ("double", "float")]
+    df.withColumns({c: plain_number(F.col(c)) for c in floats}).repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def export_parts(df: DataFrame, path: str, order: list[str], numbers: list[str], most: int = 250_000) -> None:

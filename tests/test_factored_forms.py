@@ -44,6 +44,12 @@ def test_percentages_of_many_stores(spark):
     assert {r.share for r in forecast.daily_factors(sold, fractions, 7).parts.collect()} == {0.005}
 
 
+def test_large_numbers_are_written_out(spark, tmp_path):
+    df = spark.createDataFrame([("a", 12345678.0), ("b", -98765432.5), ("c", 0.25), ("d", None), ("e", 1e15)], "k string, qty double")
+    sinks.single_csv(df, f"file://{tmp_path}/r")
+    assert {r.k: r.qty for r in spark.read.csv(f"file://{tmp_path}/r", header=True).collect()} == {"a": "12345678.0", "b": "-98765432.5", "c": "0.25", "d": None, "e": "1000000000000000.0"}
+
+
 def test_exports_can_be_compressed(spark, tmp_path):
     f = factors(spark)
     rows = lambda df: sorted(tuple(r) for r in df.select("grp", "sku", "store", "daily", "share").collect())
