@@ -35,6 +35,45 @@ def test_large_products_have_bounded_tasks(spark, monkeypatch):
     assert product_join(left, right, ["k"]).rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism  # not 10,000
 
 
+def test_checks_of_rows_put_together_before(spark):
+    f = factors(spark)
+    want = rounded(forecast.checks(forecast.daily_forecast(f)))
+    for bytes_ in (0, 1 << 24):
+        assert rounded(forecast.check_rows(f, bytes_)) == want
+
+
+def test_categories_of_factors(spark):
+    f = factors(spark)
+    rows = forecast.daily_forecast(f)
+    half = Factored(f.parts.where("store = 1"), f.members)
+    both = Factored(f.parts.unionByName(f.parts.where("store = 1")), f.members)
+    want = forecast.union_categories({"a": forecast.daily_forecast(half), "b": rows.unionByName(rows.where("store = 1"))})
+    assert rounded(forecast.union_factors({"a": half, "b": both})) == rounded(want)
+
+
+def test_consolidation_meets_only_skus_of_several_groups(spark):
+    f = factors(spark)
+    off = Factored(f.parts.where("share > 0"), f.members.groupBy("grp", "sku").agg(F.sum("daily").alias("daily")))
+    on = Factored(off.parts.where("store < 3"), off.members.where("sku <> 10"))
+    want = rounded(forecast.consolidate(forecast.daily_forecast(off), forecast.daily_forecast(on)))
+    for bytes_ in (0, 1 << 24):
+        assert rounded(forecast.consolidate_factors(off, on, bytes_)) == want
+    single = Factored(off.parts, off.members.where("sku <> 11"))
+    plan = forecast.consolidate_factors(single, single)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1  # rows of the product were joined with the list of such skus
+
+
+def test_extra_shipment_sums_before_it_spreads(spark):
+    cells = [("g", 1, 7, "OFFLINE", 0.5), ("g", 1, 7, "ONLINE", 0.2), ("g", 2, 7, "OFFLINE", 0.3), ("g", 3, None, "ONLINE", 0.8), ("g", 4, None, "OFFLINE", 0.2), ("h", 1, 7, "ONLINE", 1.0)]
+    per = spark.createDataFrame(cells, "grp string, store long, dc int, channel string, share double")
+    extra = spark.createDataFrame([(10, "g", 100.0), (10, "h", 3.0), (11, "g", 5.0), (12, "x", 1.0)], "sku long, grp string, pieces double")
+    plain = forecast.blended(per).join(extra, "grp").withColumn("sent", F.col("pieces") * F.col("share"))
+    want = plain.select("sku", "grp", "store", "dc", "share", "sent", F.sum("sent").over(Window.partitionBy("sku", "dc")).alias("dc_sent"))
+    got = forecast.extra_shipment(per, extra)
+    assert got.columns == want.columns and rounded(got) == rounded(want)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()  # rows of stores go through none
+
+
 def test_percentages_of_many_stores(spark):
     """Each below 1, as there are many stores; together they are 100."""
     sold = spark.createDataFrame([("g", 10, 7.0, None)], "grp string, sku long, qty double, delta double")
