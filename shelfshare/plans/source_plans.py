@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import period_norm, store_from_code, suffixed, twin_or_model
 from ..operators import cleaning, panel, shares
-from ..operators.lineage import scratch
+from ..operators.lineage import scratch, stored
 from ..operators.selection import with_exact_median
 from ..sources import checked, layout, scans, sinks, versioned
 from . import base as b
@@ -220,17 +220,17 @@ _FIELDS = [checked.Field("CODIGO", "sku", checked.whole_number, True), checked.F
 
 
 def _damaged_csv(spark: SparkSession, d: str) -> str:
-    """Two files with a header each, and one without."""
+    """Files with a header each, and some without; as many as tasks write."""
     path = scratch(spark, "damaged")
     pairs = b.read(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
     rows = pairs.selectExpr(*_INCUMBENT, f"{_HARM} AS harm", "p_partkey % 3 AS third")
     rows = rows.withColumns({"CODIGO": F.when(F.col("harm") == "sku", "").otherwise(F.col("CODIGO")), "CODIGO_FILIAL": F.when(F.col("harm") == "store", "no code").otherwise(F.col("CODIGO_FILIAL"))})
     whole = F.concat_ws(";", "CODIGO", "CODIGO_FILIAL", "PERCENTUAL_MATRIZ", "CANAL", "TIPO_FILIAL")
-    lines = rows.select("third", F.when(F.col("harm") == "short", F.concat_ws(";", "CODIGO", "CODIGO_FILIAL")).otherwise(whole).alias("value"))
-    header = spark.createDataFrame([(";".join(f.source for f in _FIELDS),)], "value string")
-    for third in (0, 1):
-        header.coalesce(1).union(lines.where(F.col("third") == third).select("value").coalesce(1)).coalesce(1).write.mode("append").text(path)
-    lines.where("third = 2").select("value").coalesce(1).write.mode("append").text(path)
+    lines = stored(rows.select("third", F.when(F.col("harm") == "short", F.concat_ws(";", "CODIGO", "CODIGO_FILIAL")).otherwise(whole).alias("value")), "lines")
+    header = ";".join(f.source for f in _FIELDS)
+    # A table of one column, whose name is the header; no line has a tab.
+    lines.where("third < 2").select(F.col("value").alias(header)).write.csv(path, sep="\t", quote="", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    lines.where("third = 2").select("value").write.mode("append").text(path)
     return path
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from ..functions import comma_number
@@ -25,10 +25,17 @@ def export_csv(df: DataFrame, path: str, numbers: list[str], decimals: int = 3)
     with_commas(df, numbers, decimals).write.mode("overwrite").csv(path, sep=";", header=True)
 
 
+def split_writer(df: DataFrame) -> DataFrameWriter:
+    """A writer for many folders: each task moves its own files to their place when it ends, instead of the driver all of
+    them one by one at the end of the job. A job that fails may leave files, so that what is read is published by other means
+    or written again as a whole."""
+    return df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 def export_by_key(df: DataFrame, path: str, key: str, most: int, numbers: list[str]) -> None:
     """CSV files of about `most` rows, no key in two of them: a folder file_no=<n> each."""
     numbered = file_numbers(df, key, most).repartition("file_no")
-    with_commas(numbered, numbers).write.mode("overwrite").partitionBy("file_no").csv(path, sep=";", header=True)
+    split_writer(with_commas(numbered, numbers)).mode("overwrite").partitionBy("file_no").csv(path, sep=";", header=True)
 
 
 def plain_number(value: Column) -> Column:
@@ -49,4 +56,4 @@ def export_parts(df: DataFrame, path: str, order: list[str], numbers: list[str],
     task sorts them all; the ranges are stored before they are counted, so every row has one number."""
     numbered = running_total(df, [F.asc(c) for c in order], F.lit(1), "nth_")
     parts = numbered.withColumn("part", F.floor((F.col("nth_") - 1) / most).cast("int")).drop("nth_")
-    with_commas(parts, numbers).repartition("part").write.mode("overwrite").partitionBy("part").csv(path, sep=";", header=True)
+    split_writer(with_commas(parts, numbers).repartition("part")).mode("overwrite").partitionBy("part").csv(path, sep=";", header=True)
