@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import period_label, share_of_total
 from ..operators import cleaning, demand, pilot, shares
+from ..operators.lineage import dealt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,6 +53,15 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"on_hand": (F.col("sku") * 3 + F.col("store") * 5 + F.unix_date("day")) % 11, "year_month": F.date_format("day", "yyyyMM").cast("int")})
 
 
+def dealt_sales(spark: SparkSession, d: str, *keys: str) -> DataFrame:
+    """sales() dealt out by keys, in as many partitions as there are lines for; lines are counted by the files' footers."""
+    return dealt(sales(spark, d), line_count(spark, d), *keys)
+
+
+def line_count(spark: SparkSession, d: str) -> int:
+    return read(spark, d, "lineitem").count()
+
+
 def stores(spark: SparkSession, d: str) -> DataFrame:
     nation = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("dc"), F.col("r_name").alias("region"), F.col("n_name").alias("dc_name"))
     supplier = read(spark, d, "supplier").select(F.col("s_suppkey").alias("store"), F.col("s_nationkey").alias("dc"), F.concat(F.lit("PORTE "), (F.col("s_suppkey") % 6 + 1).cast("string")).alias("band"))
@@ -71,7 +81,7 @@ SALES = """sales AS (
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """One row per group, store and day."""
     missing = F.when((F.col("mandatory") == "S") & (F.col("on_hand") < F.col("qty")), F.col("qty") - F.col("on_hand"))
-    return sales(spark, d).groupBy("grp", "store", "day", "year_month").agg(F.sum("qty").alias("qty"), F.sum(missing).alias("delta"))
+    return dealt_sales(spark, d, "grp", "store").groupBy("grp", "store", "day", "year_month").agg(F.sum("qty").alias("qty"), F.sum(missing).alias("delta"))
 
 
 PANEL = f"""{SALES}, panel AS (
@@ -157,8 +167,9 @@ matrix AS (SELECT grp, store, dc, region, band, real_qty, coalesce(new_qty / nul
 
 
 def channels(spark: SparkSession, d: str) -> DataFrame:
-    """sku, grp, store, channel, share of the channel's sales of the sku."""
-    per = sales(spark, d).groupBy("sku", "grp", "store", "dc", "channel").agg(F.sum("qty").alias("qty"))
+    """sku, grp, store, channel, share of the channel's sales of the sku. Lines meet by sku and store, their sums by sku."""
+    per = dealt_sales(spark, d, "sku", "store").groupBy("sku", "grp", "store", "dc", "channel").agg(F.sum("qty").alias("qty"))
+    per = dealt(per, line_count(spark, d), "sku")
     return per.withColumn("share", share_of_total(F.col("qty"), "sku", "channel"))
 
 

@@ -13,7 +13,7 @@ from .base import query
 
 
 def _daily(spark, d):
-    return b.sales(spark, d).groupBy("sku", "store", "day", "mandatory", "on_hand").agg(F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"))
+    return b.dealt_sales(spark, d, "sku", "store").groupBy("sku", "store", "day", "mandatory", "on_hand").agg(F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"))
 
 
 _ROLLED = f"""WITH {b.SALES}, daily AS (SELECT sku, store, day, mandatory, on_hand, sum(qty) AS qty, sum(revenue) AS revenue FROM sales GROUP BY ALL),
