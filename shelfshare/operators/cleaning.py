@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import small
+
 
 def atypical_months(df: DataFrame, value: str = "qty", group: str = "grp", month: str = "year_month", sigmas: float = 2.0) -> DataFrame:
     """Months whose total lies outside the group's mean of monthly totals by more than `sigmas` standard deviations.
@@ -37,7 +39,9 @@ def winsorise(df: DataFrame, value: str = "qty", keys: tuple[str, ...] = ("grp",
 
 
 def mirror_stores(df: DataFrame, mirror: DataFrame, store: str = "store") -> DataFrame:
-    """Rows of mirrored stores go, and come again as copies of their reference store's. mirror: reference, mirrored."""
+    """Rows of mirrored stores go, and come again as copies of their reference store's. mirror: reference, mirrored; a counted
+    small one is broadcast, so that rows stay where they are."""
+    mirror = small(mirror, 16)
     kept = df.join(mirror.select(F.col("mirrored").alias(store)), store, "left_anti")
     copies = df.join(mirror, F.col(store) == F.col("reference")).drop(store, "reference").withColumnRenamed("mirrored", store)
     return kept.unionByName(copies)
