@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lineage import running_total
+from .lineage import dealt, running_total
 
 
 def numbers(df: DataFrame, column: str) -> DataFrame:
@@ -16,14 +16,16 @@ def numbers(df: DataFrame, column: str) -> DataFrame:
     return running_total(df.select(column).where(F.col(column).isNotNull()).distinct(), [F.asc(column)], F.lit(1), "code")
 
 
-def daily(df: DataFrame, keys: list[str], column: str, codes: DataFrame | None = None) -> DataFrame:
+def daily(df: DataFrame, keys: list[str], column: str, codes: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """keys, bucket, bits: which ids each key, such as group and day, has. Without codes the column's own whole numbers are used.
 
-    A bitmap has 32,768 ids; tasks make them before they meet. Null ids don't count.
+    A bitmap has 32,768 ids and takes 4 KB, be they few or many, so rows meet before they become bitmaps. `rows` tells how many
+    there are at most, else they are counted when this is called. Null ids don't count.
     """
-    rows = df.select(*keys, column) if codes is None else df.select(*keys, column).join(codes, column).drop(column).withColumnRenamed("code", column)
-    known = rows.where(F.col(column).isNotNull())
-    return known.groupBy(*keys, F.bitmap_bucket_number(column).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("bits"))
+    found = df.select(*keys, column) if codes is None else df.select(*keys, column).join(codes, column).drop(column).withColumnRenamed("code", column)
+    known = found.where(F.col(column).isNotNull()).withColumn("bucket", F.bitmap_bucket_number(column))
+    known = dealt(known, known.count() if rows is None else rows, *keys, "bucket")
+    return known.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("bits"))
 
 
 def merged(bitmaps: DataFrame, keys: list[str]) -> DataFrame:

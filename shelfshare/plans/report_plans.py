@@ -40,7 +40,7 @@ def distinct_by_period(spark, d):
     names = stored(bitmaps.numbers(s, "brand"), "brand-numbers")
     out = None
     for column, name, codes in (("sku", "skus", None), ("store", "stores", None), ("brand", "brands", names)):
-        days = stored(bitmaps.daily(s, ["grp", "day"], column, codes), "bitmaps")
+        days = stored(bitmaps.daily(s, ["grp", "day"], column, codes, b.line_count(spark, d)), "bitmaps")
         found = bitmaps.counts(bitmaps.merged(days.withColumn("year", F.year("day").cast("long")), keys), keys, name)
         out = found if out is None else out.join(found, keys)
     return out

@@ -2,7 +2,7 @@
 
 import pytest
 
-from shelfshare.operators import lineage
+from shelfshare.operators import bitmaps, lineage
 from shelfshare.plans import QUERIES, base
 
 D = "/root/testdata/sf0.001"
@@ -18,3 +18,10 @@ def small_tasks(spark, monkeypatch):
 def test_partitions_follow_the_input(spark, small_tasks, name):
     assert small_tasks > 8
     assert QUERIES[name](spark, D).rdd.getNumPartitions() >= small_tasks
+
+
+def test_bitmaps_are_made_where_rows_met(spark, small_tasks):
+    s = base.sales(spark, D)
+    days = bitmaps.daily(s, ["grp", "day"], "sku", rows=base.line_count(spark, D))
+    assert days.rdd.getNumPartitions() == small_tasks
+    assert days.count() == days.select("grp", "day", "bucket").distinct().count()
