@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import store_code
 from . import cleaning
-from .lineage import running_total
+from .lineage import running_total, small, stored
 
 
 def transfer_to_dc(df: DataFrame, valid: DataFrame, target: int) -> DataFrame:
@@ -44,7 +44,7 @@ def normalise_to_100(df: DataFrame, keys: tuple[str, ...] = ("sku", "channel"),
 def eligibility(df: DataFrame, reference: DataFrame, always: list[int]) -> DataFrame:
     """df with `is_dc` and `eligible` from the reference list (store, kind); a store that is there twice counts as a centre."""
     known = reference.groupBy("store").agg(F.max(F.col("kind").isin("CD", "Entreposto", "TERMINAL").cast("int")).alias("dc_"))
-    out = df.join(known, "store", "left")
+    out = df.join(small(stored(known, "eligible"), 16), "store", "left")
     return out.withColumns({"eligible": F.col("dc_").isNotNull() | F.col("store").isin(always), "is_dc": F.col("store").isin(always) | F.coalesce(F.col("dc_") == 1, F.lit(False))}).drop("dc_")
 
 

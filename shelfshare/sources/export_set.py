@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import export
-from ..operators.lineage import running_total
+from ..operators.lineage import dealt, running_total, stored
 from .sinks import with_commas
 from .versioned import _Files
 
@@ -35,11 +35,13 @@ def export_rows(offline: DataFrame, online: DataFrame, reference: DataFrame, alw
     categories is scaled in each.
     """
     keys = ["category", "sku", "store"]
-    side = lambda df, c: df.groupBy(*keys).agg(F.avg(100 * F.col("share")).alias("share")).withColumn("channel", F.lit(c))
-    rows = side(offline, "OFFLINE").unionByName(side(online, "ONLINE"))
-    rows = export.eligibility(rows, reference, always).where("eligible")
-    rows = export.normalise_to_100(rows, ("category", "sku", "channel"))
-    return export.final_export(rows, end_date, ["category"])
+
+    def side(df: DataFrame, channel: str) -> DataFrame:  # a channel by itself, in the partitions that it comes in
+        rows = df.groupBy(*keys).agg(F.avg(100 * F.col("share")).alias("share")).withColumn("channel", F.lit(channel))
+        rows = export.eligibility(rows, reference, always).where("eligible")
+        return export.final_export(export.normalise_to_100(rows, ("category", "sku", "channel")), end_date, ["category"])
+
+    return side(offline, "OFFLINE").unionByName(side(online, "ONLINE"))
 
 
 def write(rows: DataFrame, path: str, most: int = 150_000, number: str = "PERCENTUAL") -> dict:
@@ -49,11 +51,13 @@ def write(rows: DataFrame, path: str, most: int = 150_000, number: str = "PERCEN
     files = _Files(spark, path)
     if files.names(path):
         raise Refused(f"{path} is in use")
+    rows = stored(rows, "export-rows")  # numbered and written from the same rows, in partitions by their count
+    count = rows.count()
     per_sku = running_total(rows.groupBy("category", "SKU").agg(F.count("*").alias("rows_")), [F.asc("category"), F.asc("SKU")], F.col("rows_"), "upto_")
     numbers = per_sku.select("category", "SKU", F.floor((F.col("upto_") - F.col("rows_")) / most).cast("int").alias("file_no"))
     columns = [c for c in rows.columns if c != "category"]
-    numbered = with_commas(rows.join(numbers, ["category", "SKU"]), [number]).select("category", "file_no", *columns)
-    numbered.repartition("category", "file_no").write.partitionBy("category", "file_no").csv(f"{path}/data", sep=";", header=True)
+    numbered = with_commas(dealt(rows, count, "category", "SKU").join(numbers, ["category", "SKU"]), [number]).select("category", "file_no", *columns)
+    dealt(numbered, count, "category", "file_no").write.partitionBy("category", "file_no").csv(f"{path}/data", sep=";", header=True)
     _seen(spark, path, columns, number).write.parquet(f"{path}/manifest")
     total = _total(spark.read.parquet(f"{path}/manifest")) | {"columns": columns, "number": number}
     files.publish(json.dumps(total), f"{path}/{COMMITTED}")
