@@ -19,12 +19,13 @@ def numbers(df: DataFrame, column: str) -> DataFrame:
 def daily(df: DataFrame, keys: list[str], column: str, codes: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """keys, bucket, bits: which ids each key, such as group and day, has. Without codes the column's own whole numbers are used.
 
-    A bitmap has 32,768 ids and takes 4 KB, be they few or many, so rows meet before they become bitmaps. `rows` tells how many
-    there are at most, else they are counted when this is called. Null ids don't count.
+    A bitmap has 32,768 ids and takes 4 KB, be they few or many. With few keys tasks make bitmaps before they meet. With keys as
+    fine as days that would be a bitmap for every few rows: give `rows`, how many there are at most, and rows meet first, dealt
+    out by that. Null ids don't count.
     """
     found = df.select(*keys, column) if codes is None else df.select(*keys, column).join(codes, column).drop(column).withColumnRenamed("code", column)
     known = found.where(F.col(column).isNotNull()).withColumn("bucket", F.bitmap_bucket_number(column))
-    known = dealt(known, known.count() if rows is None else rows, *keys, "bucket")
+    known = known if rows is None else dealt(known, rows, *keys, "bucket")
     return known.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("bits"))
 
 
