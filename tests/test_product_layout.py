@@ -48,3 +48,17 @@ def test_blocks_lose_and_double_nothing(spark, broadcast_bytes):
     got = product_join(left, right, ["k"], 200_000, broadcast_bytes).cache()
     assert got.count() == 3000 * 300 == got.distinct().count()
     assert got.where("other % 3 <> k or (id < 2500) <> (k = 1) or z <> other % 7").count() == 0
+
+
+def test_checks_make_equal_rows_once(spark, factors, monkeypatch):
+    """The rows of a sku used to be as many as its group's stores."""
+    parts = factors.parts.unionByName(factors.parts.where("store % 400 = 7").withColumn("share", F.lit(-0.03)))
+    members = factors.members.unionByName(factors.members.where("sku % 300 = 1").withColumn("daily", -F.col("daily")))
+    own, made = Factored(parts, members), []
+    monkeypatch.setattr(forecast, "product_join", lambda *a, **k: made.append(product_join(*a, **k)) or made[-1])
+    plain = lambda df: sorted((r.grp, r.sku, round(r.stores_sum, 9), r.sku_daily, r.negatives, r.doubled, round(r.covered_pct or 0, 6)) for r in df.collect())
+    got = forecast.check_rows(own)
+    want = forecast.checks(Factored(parts, members).expand().withColumn("forecast", F.col("daily") * F.col("share")))
+    assert got.dtypes == want.dtypes and plain(got) == plain(want)
+    assert sum(r.negatives > 0 for r in got.collect()) > 2000 and sum(r.doubled == 1000 for r in got.collect()) == 7
+    assert made[0].count() < 2100 * 60
