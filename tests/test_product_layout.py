@@ -62,3 +62,16 @@ def test_checks_make_equal_rows_once(spark, factors, monkeypatch):
     assert got.dtypes == want.dtypes and plain(got) == plain(want)
     assert sum(r.negatives > 0 for r in got.collect()) > 2000 and sum(r.doubled == 1000 for r in got.collect()) == 7
     assert made[0].count() < 2100 * 60
+
+
+def test_exports_have_no_task_for_each_file(spark, factors, tmp_path):
+    """Small files of a large product used to be a task each; and the lines have the same text as the product's values."""
+    own = Factored(factors.parts.where("store < 30").withColumn("other", F.col("share") / 3), factors.members)
+    own.export(f"file://{tmp_path}/z", 1000, "gzip")
+    files = [p.name for p in (tmp_path / "z").glob("part-*.csv.gz")]
+    assert len(files) >= 63 and len({n.split("-")[1] for n in files}) < 10
+    got = spark.read.csv(f"file://{tmp_path}/z", sep=";", header=True)
+    assert got.columns == ["grp", "sku", "daily", "store", "share", "other"]
+    assert got.groupBy(F.input_file_name()).count().where("count > 1000").count() == 0
+    want = own.expand().select(*[F.col(c).cast("string") for c in got.columns])
+    assert got.count() == 63_000 and got.exceptAll(want).count() == 0
